@@ -1,0 +1,40 @@
+"""Queries of the general training-data problems: overlap across splits, containers, related records."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from textloom.operators import packing, turns
+from textloom.plans.logsql import LOG
+from textloom.session import table
+
+
+def _profiles(spark: SparkSession, d: str) -> list[tuple[str, int]]:
+    """The profile table has a fixed handful of rows; a larger one is refused rather than collected."""
+    rows = table(spark, d, "pack_profiles").select("profile_name", "max_chars").dropna().dropDuplicates(["profile_name"]).limit(1001).collect()
+    if len(rows) > 1000:
+        raise ValueError("more than 1000 container profiles")
+    return sorted((r.profile_name, r.max_chars) for r in rows)
+
+
+def _packed(spark: SparkSession, d: str) -> DataFrame:
+    kept = turns.verdicts(turns.turn_facts(turns.events(table(spark, d, "messages")))).filter("kept")
+    return packing.pack(kept.select(F.col("conversation_id").alias("item_id"), F.col("n_chars").alias("size")), _profiles(spark, d))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations that the packing had to split."""
+    return _packed(spark, d).filter("n_fragments > 1 AND fragment = n_fragments - 1").select("profile_name", F.col("item_id").alias("conversation_id"))
+
+
+def p4_containers(spark: SparkSession, d: str) -> DataFrame:
+    return packing.container_stats(_packed(spark, d), _profiles(spark, d))
+
+
+QUERIES = {"p4_found": p4_found, "p4_containers": p4_containers}
+ORACLE: dict[str, str] = {
+    "p4_found": f"""WITH {LOG}, long AS (
+  SELECT cid, sum(length(content)) AS n FROM msgs JOIN judged USING (cid) WHERE NOT dropped GROUP BY cid)
+SELECT profile_name, cid AS conversation_id FROM long JOIN pack_profiles ON n > max_chars""",
+}
