@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.operators import packing, turns
+from textloom.functions import text as T
+from textloom.operators import forest, packing, turns
 from textloom.plans.logsql import LOG
-from textloom.session import table
+from textloom.session import materialize, table
 
 
 def _profiles(spark: SparkSession, d: str) -> list[tuple[str, int]]:
@@ -32,7 +33,28 @@ def p4_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.container_stats(_packed(spark, d), _profiles(spark, d))
 
 
-QUERIES = {"p4_found": p4_found, "p4_containers": p4_containers}
+def _related(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(conversation_id, root), and (conversation_id, split) for the conversations that have one."""
+    splits = table(spark, d, "split_assignments").select(T.label(F.col("conversation_id")).alias("conversation_id"), F.lower(T.label(F.col("split_name"))).alias("split")).filter("conversation_id <> '' AND split <> ''").distinct()
+    return forest.related_conversations(spark, table(spark, d, "messages"), table(spark, d, "threads"), splits), splits
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations with a split whose group has more than one split today."""
+    groups, splits = _related(spark, d)
+    x = groups.join(splits, "conversation_id")
+    mixed = x.groupBy("root").agg(F.min("split").alias("lo"), F.max("split").alias("hi")).filter("lo <> hi").select("root")
+    return x.join(mixed, "root", "left_semi").select("conversation_id").distinct()
+
+
+def p6_splits(spark: SparkSession, d: str) -> DataFrame:
+    """A new split for every conversation, whole groups together."""
+    groups = materialize(_related(spark, d)[0], "groups")
+    dealt = forest.deal_splits(groups.groupBy("root").agg(F.count("*").alias("size")), {"train": 0.8, "validation": 0.1, "test": 0.1})
+    return groups.join(dealt, "root").select("conversation_id", "root", "split")
+
+
+QUERIES = {"p4_found": p4_found, "p4_containers": p4_containers, "p6_found": p6_found, "p6_splits": p6_splits}
 ORACLE: dict[str, str] = {
     "p4_found": f"""WITH {LOG}, long AS (
   SELECT cid, sum(length(content)) AS n FROM msgs JOIN judged USING (cid) WHERE NOT dropped GROUP BY cid)
