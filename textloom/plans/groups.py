@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.operators import forest, packing, turns
+from textloom.operators import forest, overlap, packing, turns
 from textloom.plans.logsql import LOG
 from textloom.session import materialize, table
 
@@ -54,7 +54,30 @@ def p6_splits(spark: SparkSession, d: str) -> DataFrame:
     return groups.join(dealt, "root").select("conversation_id", "root", "split")
 
 
-QUERIES = {"p4_found": p4_found, "p4_containers": p4_containers, "p6_found": p6_found, "p6_splits": p6_splits}
+def _twins(spark: SparkSession, d: str) -> DataFrame:
+    named = F.lower(T.label(F.col("split_name")))
+    side = F.when(named == "train", 1).when(named.isin("validation", "test"), 2)
+    splits = table(spark, d, "split_assignments").select(T.label(F.col("conversation_id")).alias("id"), side.alias("side")).filter("id <> '' AND side IS NOT NULL").distinct()
+    texts = overlap.conversation_texts(table(spark, d, "messages")).withColumnRenamed("conversation_id", "id")
+    return overlap.cross_split_pairs(texts.join(splits, "id"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations of a held-out split with their twin in training."""
+    return _twins(spark, d).select(F.col("id_a").alias("conversation_id_a"), F.col("id_b").alias("conversation_id_b"))
+
+
+def p3_report(spark: SparkSession, d: str) -> DataFrame:
+    """Overlapping held-out conversations per split and source, with the share of their words that stands in training."""
+    twins = _twins(spark, d)
+    each = twins.select(F.col("id_a").alias("id"), "shared", F.col("n_a").alias("n")).unionByName(twins.select(F.col("id_b").alias("id"), "shared", F.col("n_b").alias("n"))).groupBy("id").agg(F.max(F.col("shared") / F.col("n")).alias("coverage"))
+    splits = table(spark, d, "split_assignments").select(T.label(F.col("conversation_id")).alias("id"), F.lower(T.label(F.col("split_name"))).alias("split")).filter("split IN ('validation', 'test')").distinct()
+    source = table(spark, d, "messages").select(T.label(F.col("conversation_id")).alias("id"), "source_name").groupBy("id").agg(F.min("source_name").alias("source_name"))
+    x = splits.join(each, "id").join(source, "id", "left")
+    return x.groupBy("split", "source_name").agg(F.count("*").alias("conversations"), F.avg("coverage").alias("mean_coverage"))
+
+
+QUERIES = {"p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p4_containers": p4_containers, "p6_found": p6_found, "p6_splits": p6_splits}
 ORACLE: dict[str, str] = {
     "p4_found": f"""WITH {LOG}, long AS (
   SELECT cid, sum(length(content)) AS n FROM msgs JOIN judged USING (cid) WHERE NOT dropped GROUP BY cid)
