@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import conversations
+from textloom.llm import budget, conversations, encoding, labels
 from textloom.plans.logsql import LOG
 from textloom.session import table
 
@@ -21,7 +21,15 @@ def p5_conversations(spark: SparkSession, d: str) -> DataFrame:
     return out.select("conversation_id", F.size("messages").cast("bigint").alias("n_messages"), F.sha2(F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n"), 256).alias("digest"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p5_found": p5_found, "p5_conversations": p5_conversations}
+def p1_token_budget(spark: SparkSession, d: str) -> DataFrame:
+    return budget.message_budget(table(spark, d, "messages"), table(spark, d, "threads"), labels.canonical(F.col("language")))
+
+
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return encoding.encode(table(spark, d, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_token_budget": p1_token_budget, "p5_found": p5_found, "p8_ids": p8_ids, "p5_conversations": p5_conversations}
 
 ORACLE: dict[str, str] = {
     "p5_found": f"WITH {LOG} SELECT cid AS conversation_id FROM judged WHERE dropped",
