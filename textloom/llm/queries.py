@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import budget, conversations, encoding, labels
+from textloom.llm import budget, conversations, encoding, labels, leaks
 from textloom.plans.logsql import LOG
 from textloom.session import table
 
@@ -29,7 +29,16 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encoding.encode(table(spark, d, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_token_budget": p1_token_budget, "p5_found": p5_found, "p8_ids": p8_ids, "p5_conversations": p5_conversations}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.find(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p9_items(spark: SparkSession, d: str) -> DataFrame:
+    """Which test items leaked, and into how many documents."""
+    return p9_found(spark, d).groupBy("item_id").agg(F.countDistinct("doc_id").alias("documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_token_budget": p1_token_budget, "p5_found": p5_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p5_conversations": p5_conversations}
 
 ORACLE: dict[str, str] = {
     "p5_found": f"WITH {LOG} SELECT cid AS conversation_id FROM judged WHERE dropped",
