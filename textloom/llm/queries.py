@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import budget, conversations, encoding, labels, leaks
+from textloom.functions import text as T
+from textloom.llm import budget, conversations, encoding, labels, langid, leaks
 from textloom.plans.logsql import LOG
 from textloom.session import table
 
@@ -25,6 +26,24 @@ def p1_token_budget(spark: SparkSession, d: str) -> DataFrame:
     return budget.message_budget(table(spark, d, "messages"), table(spark, d, "threads"), labels.canonical(F.col("language")))
 
 
+def language_model(spark: SparkSession, d: str) -> langid.Model:
+    m = table(spark, d, "messages")
+    role = F.lower(T.label(F.col("role")))
+    labelled = m.select(labels.canonical(F.col("language")).alias("lang_code"), F.col("content").alias("text"), F.when(role.isin("system", "user", "assistant"), role).alias("stratum"))
+    return langid.fit(table(spark, d, "lang_samples"), labelled)
+
+
+def p7_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Every segment of every message row, with its confidence."""
+    out = langid.label_segments(language_model(spark, d), table(spark, d, "messages"), "msg_id", "content", labels.canonical(F.col("language")))
+    return out.select(F.col("id").alias("msg_id"), "seg_no", "lang_code", "confidence")
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    out = langid.label_segments(language_model(spark, d), table(spark, d, "messages"), "msg_id", "content", labels.canonical(F.col("language")))
+    return langid.label_cases(out).select(F.col("id").alias("msg_id"), "seg_no", "lang_code")
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encoding.encode(table(spark, d, "documents"))
 
@@ -38,7 +57,7 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
     return p9_found(spark, d).groupBy("item_id").agg(F.countDistinct("doc_id").alias("documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_token_budget": p1_token_budget, "p5_found": p5_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p5_conversations": p5_conversations}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_token_budget": p1_token_budget, "p5_found": p5_found, "p7_found": p7_found, "p7_segments": p7_segments, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p5_conversations": p5_conversations}
 
 ORACLE: dict[str, str] = {
     "p5_found": f"WITH {LOG} SELECT cid AS conversation_id FROM judged WHERE dropped",
