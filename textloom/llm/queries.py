@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.llm import budget, conversations, encoding, labels, langid, leaks
+from textloom.llm import budget, conversations, encoding, labels, langid, leaks, pairs
 from textloom.plans.logsql import LOG
 from textloom.session import table
 
@@ -33,6 +33,18 @@ def language_model(spark: SparkSession, d: str) -> langid.Model:
     return langid.fit(table(spark, d, "lang_samples"), labelled)
 
 
+def p2_defects(spark: SparkSession, d: str) -> DataFrame:
+    """Every triggered defect of every pair."""
+    out = pairs.defects(table(spark, d, "messages"), language_model(spark, d))
+    return out.select("conversation_id", "turn_index", F.explode("defects").alias("defect"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """The first defect of every pair, in the order of the rules: a pair has one at most."""
+    out = pairs.defects(table(spark, d, "messages"), language_model(spark, d))
+    return out.select("conversation_id", "turn_index", F.element_at("defects", 1).alias("defect"))
+
+
 def p7_segments(spark: SparkSession, d: str) -> DataFrame:
     """Every segment of every message row, with its confidence."""
     out = langid.label_segments(language_model(spark, d), table(spark, d, "messages"), "msg_id", "content", labels.canonical(F.col("language")))
@@ -57,7 +69,7 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
     return p9_found(spark, d).groupBy("item_id").agg(F.countDistinct("doc_id").alias("documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_token_budget": p1_token_budget, "p5_found": p5_found, "p7_found": p7_found, "p7_segments": p7_segments, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p5_conversations": p5_conversations}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_token_budget": p1_token_budget, "p2_found": p2_found, "p2_defects": p2_defects, "p5_found": p5_found, "p7_found": p7_found, "p7_segments": p7_segments, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p5_conversations": p5_conversations}
 
 ORACLE: dict[str, str] = {
     "p5_found": f"WITH {LOG} SELECT cid AS conversation_id FROM judged WHERE dropped",
