@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.llm import budget, conversations, encoding, labels, langid, leaks, pairs
+from textloom.llm import budget, conversations, encoding, labels, langid, leaks, pairs, pii
 from textloom.plans.logsql import LOG
 from textloom.session import table
 
@@ -69,7 +69,19 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
     return p9_found(spark, d).groupBy("item_id").agg(F.countDistinct("doc_id").alias("documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_token_budget": p1_token_budget, "p2_found": p2_found, "p2_defects": p2_defects, "p5_found": p5_found, "p7_found": p7_found, "p7_segments": p7_segments, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p5_conversations": p5_conversations}
+def _pii_model(spark: SparkSession, d: str) -> pii.Model:
+    return pii.fit(table(spark, d, "documents"), table(spark, d, "known_names"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.find(table(spark, d, "documents"), _pii_model(spark, d))
+
+
+def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return pii.redact(table(spark, d, "documents"), _pii_model(spark, d))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_token_budget": p1_token_budget, "p2_found": p2_found, "p2_defects": p2_defects, "p5_found": p5_found, "p7_found": p7_found, "p7_segments": p7_segments, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_redacted": p10_redacted, "p5_conversations": p5_conversations}
 
 ORACLE: dict[str, str] = {
     "p5_found": f"WITH {LOG} SELECT cid AS conversation_id FROM judged WHERE dropped",
