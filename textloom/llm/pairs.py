@@ -75,17 +75,37 @@ _TAIL_MARK = re.compile(r"[\s`]+$")
 _STOP = re.compile(r"[.!?।…]|\n[ \t>]*\d{1,3}[.)]")
 
 
+_ACCENT = re.compile("[\u0300-\u036f]+")
+
+
+def _unaccented(text: str) -> str:
+    """Lower case, without accents on Latin letters."""
+    t = text.lower()
+    if t.isascii():
+        return t
+    return unicodedata.normalize("NFC", _ACCENT.sub("", unicodedata.normalize("NFD", t)))
+
+
 def _bare(text: str) -> str:
     """Lower-case words without accents on Latin letters, one space between."""
-    t = unicodedata.normalize("NFD", text.lower().replace("’", "'"))
-    t = "".join(c for c in t if not "̀" <= c <= "ͯ")
-    return " ".join(words(unicodedata.normalize("NFC", t)))
+    return " ".join(words(_unaccented(text.replace("’", "'"))))
+
+
+# every refusal above holds one of these (fixed values)
+_MAY_REFUSE = (
+    "not", "n't", "n’t", "nt ", "unable", "decline", "refuse", "rather", "pass on", "beyond", "outside", "unanswered", "no comment", "no answer", "no puedo", "no podemos", "no podr", "no me", "no nos", "no le ", "no te ", "no os ",
+    "prefiero no", "no est", "no tengo", "declinar", "rechazar", "negarme", "no quiero", "pas ", "impossible", "décliner", "decliner", "nicht", "keine", "ablehnen", "नहीं", "असमर्थ", "मना", "अनुमति", "देने की", "முடியாது", "இயலாது", "முடியவில்லை", "அனுமதி",
+    "விரும்ப", "முடியல", "மாட்டேன்", "permission",
+)
 
 
 def declines(text: str, sentences: list[str]) -> bool:
     """An answer that declines and helps with nothing: every sentence of it is a refusal or courtesy, and one is a refusal."""
     if len(text) > 1500 or "\n1." in text or not sentences or len(sentences) > 8:
         return False
+    low = text.lower()
+    if not any(x in low for x in _MAY_REFUSE):
+        return False
     refused = False
     for s in sentences:
         b = _bare(s)
@@ -161,14 +181,13 @@ def _featuriser(model: langid.Model) -> Callable:
                 cut, tail = (OPEN, 0) if e or r != 1 else ending(t, ss, ts)
                 asked: list[str] = []
                 if r == 0 and not e:
-                    bare = unicodedata.normalize("NFD", t.lower())
-                    bare = unicodedata.normalize("NFC", "".join(c for c in bare if not "̀" <= c <= "ͯ")) if not t.isascii() else bare
+                    bare = _unaccented(t)
                     asked = [k for k, p in _ASKED_RE.items() if p.search(bare)]
                 # tails of complete sentences, and of list items that another one follows
                 tails = [tail_key(x) for k, (s, x) in enumerate(zip(ss, ts, strict=True)) if x and (s.rstrip()[-1:] in ".!?।" or (k + 1 < len(ss) and re.match(r"[ \t>]*\d{1,3}[.)][ \t]", s)))] if not e else []
                 # the language with most words first
                 langs = sorted(weight, key=lambda k: (-weight[k], k))
-                ids = known.ids([w for w in words(t) if w not in _PERSONS]) if not e else []
+                ids = known.ids([w for x in ts for w in x if w not in _PERSONS])
                 for c, v in zip(cols, (xxhash.xxh64_intdigest(f"{r}\x1f{t}") - 2**63, e, r == 1 and not e and declines(t, ss), cut, tail, langs, asked, np.array(ids, np.uint64).astype(np.uint32).tobytes(), tails), strict=True):
                     c.append(v)
             kinds = [pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.binary(), pa.list_(pa.int64())]
@@ -199,9 +218,9 @@ def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _runs(f: DataFrame) -> DataFrame:
     """Answers with their question: one row per assistant run that stands directly behind a user run with content."""
     # a window partition is a stretch of BLOCK numbers of a conversation, with HALO numbers of its neighbours as context
-    own = F.floor(F.col("turn") / BLOCK)
-    near = F.array_distinct(F.array(F.floor((F.col("turn") - HALO) / BLOCK), own, F.floor((F.col("turn") + HALO) / BLOCK)))
-    x = f.withColumn("block", F.explode(near))
+    # the first one begins at -HALO, so that an ordinary conversation lies in it as a whole
+    block = lambda shift: F.floor((F.col("turn").cast("double") + (HALO + shift)) / BLOCK)
+    x = f.withColumn("block", F.explode(F.array_distinct(F.array(block(-HALO), block(0), block(HALO)))))
     w = W.partitionBy("conversation_id", "block").orderBy("turn", "msg_id")
     x = x.withColumn("new", (F.coalesce(F.lag("role").over(w), F.lit(-1)) != F.col("role")).cast("int")).withColumn("run", F.sum("new").over(w))
     row = F.struct("turn", "msg_id", "words", "cut", "tail", "blank", "refusal", "langs", "asked")
@@ -212,7 +231,7 @@ def _runs(f: DataFrame) -> DataFrame:
     r = r.withColumn("full", full)
     wr = W.partitionBy("conversation_id", "block").orderBy("run")
     prev = lambda c: F.lag(c).over(wr)
-    r = r.select("*", prev("role").alias("q_role"), prev("full").alias("q_full")).filter((F.col("role") == 1) & (F.col("q_role") == 0) & (F.size("q_full") > 0) & (F.floor(F.col("turn") / BLOCK) == F.col("block")))
+    r = r.select("*", prev("role").alias("q_role"), prev("full").alias("q_full")).filter((F.col("role") == 1) & (F.col("q_role") == 0) & (F.size("q_full") > 0) & (block(0) == F.col("block")))
     joined = lambda c: F.unhex(F.array_join(F.transform(c, lambda m: F.hex(m["words"])), ""))
     last = F.element_at("full", -1)
     return r.select(
