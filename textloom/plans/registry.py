@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.plans import groups
+from textloom.plans import groups, oracle, reference
 
-FLAGSHIP = "p4_found"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**groups.QUERIES}
-ORACLE: dict[str, str] = {**groups.ORACLE}
+FLAGSHIP = "component_split"
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**reference.QUERIES, **groups.QUERIES}
+ORACLE: dict[str, str] = {**oracle.SQL, **groups.ORACLE}
