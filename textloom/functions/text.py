@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 # Unicode white space plus U+001C..U+001F, which Java's class lacks
 WS = r"(?U)[\s\x1c-\x1f]+"
 WS0 = r"(?U)[\s\x00\x1c-\x1f]+"
-EDGE = r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
+# the same as characters: tab to return, the separators, space, next line, no-break, ogham, the typographic spaces (fixed values)
+WS_CHARS = "".join(map(chr, (*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
 def visible(c: Column) -> Column:
@@ -31,7 +32,7 @@ def label(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Outer white space removed, inner kept."""
-    return F.regexp_replace(c, EDGE, "")
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def sentences(c: Column) -> Column:
