@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 import re
-import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -30,7 +29,8 @@ PER_STRATUM = 150  # bound on further labelled rows for each language and stratu
 _FENCE = re.compile(r"```.*?(?:```|\Z)", re.S)
 _LOG = re.compile(r"^[ \t>]*(?:\[?\d{4}-\d\d-\d\d[T ])?\[?\d{1,2}:\d\d:\d\d\b.*$|^[ \t>]*(?:at [\w.$]+\(.*\)|Traceback .*|\[?(?:DEBUG|INFO|WARN(?:ING)?|ERR(?:OR)?|FATAL|TRACE)\b.*=.*)$", re.M)
 _NOISE = re.compile(r"(?:https?://|www\.)\S+|\S+@\S+\.\S+|<[^<>\n]{1,80}>|`[^`\n]{1,80}`")
-_CODE = re.compile(r"[^\W\d_]*[-_/.]*\d[\w./:-]*", re.A)
+_DIGIT = re.compile(r"\d")
+_CODE = re.compile(r"(?<![A-Za-z])[A-Za-z]*[-_/.]*\d[\w./:-]*", re.A)
 # ends of sentences: a terminator before white space, an empty line, a line that starts a list item
 _END = re.compile(r"(?<=[.!?।॥…。？！])[\"'”’»)\]]*\s+|\s*\n\s*\n\s*|\n(?=[ \t>]*(?:\d{1,3}[.)]|[-*•–])[ \t])")
 # letters and combining marks of the scripts at hand, then anything else that is a letter
@@ -47,6 +47,8 @@ FILLERS = frozenset(
 
 def is_filler(text: str) -> bool:
     """A text that says nothing: blank, a stand-in for no content, or no letter and no digit at all."""
+    if len(text) > 200:  # longer than any stand-in, however much space is around it
+        return not any(c.isalnum() for c in text)
     t = fold(text).strip()
     if len(t) > 40:
         return not any(c.isalnum() for c in t)
@@ -76,23 +78,33 @@ _CAPITAL = re.compile(r"\b[A-Z][a-z]+\b")
 
 def sentence_tokens(sentence: str) -> list[str]:
     """Lower-case word tokens; codes are left out, and so are capitalised Latin names inside a sentence of another script."""
-    s = _CODE.sub(" ", sentence) if any(c.isdigit() for c in sentence) else sentence
+    s = _CODE.sub(" ", sentence) if _DIGIT.search(sentence) else sentence
     if not s.isascii():
         if _TAMIL.search(s) or _DEVANAGARI.search(s):
             s = _CAPITAL.sub(" ", s)
-        s = unicodedata.normalize("NFC", fold(s))
+        s = fold(s)
     else:
         s = s.lower()
     return _TOKEN.findall(s)
 
 
-def _script(token: str) -> str:
+_LATIN, _TAMIL_BIT, _DEVANAGARI_BIT, _OTHER = 1, 2, 4, 8
+
+
+def _script(token: str) -> int:
+    """Script of a token as a bit; none for a single ASCII letter."""
     c = token[0]
-    return "L" if c < "ʰ" else "T" if "஀" <= c <= "௿" else "D" if "ऀ" <= c <= "ॿ" else "O"
+    if len(token) == 1 and c < "\x80":
+        return 0
+    return _LATIN if c < "ʰ" else _TAMIL_BIT if "஀" <= c <= "௿" else _DEVANAGARI_BIT if "ऀ" <= c <= "ॿ" else _OTHER
 
 
 def _scripts(tokens: list[str]) -> str:
-    return "\x02" + "".join(sorted({_script(t) for t in tokens if len(t) > 1 or not t.isascii()}))
+    """Feature that names the scripts of a sentence."""
+    bits = 0
+    for t in tokens:
+        bits |= _script(t)
+    return f"\x02{bits}"
 
 
 def _grams(token: str, longest: int = 4) -> list[str]:
@@ -108,35 +120,41 @@ class Model:
     bias: np.ndarray
     temperature: float = 1.0
     rows: dict[str, int] = field(default_factory=dict, repr=False)
-    known: list[np.ndarray] = field(default_factory=list, repr=False)
+    table: np.ndarray | None = field(default=None, repr=False)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("rows", "known")} | {"rows": {}, "known": []}
+        return {k: v for k, v in self.__dict__.items() if k not in ("rows", "table")} | {"rows": {}, "table": None}
 
     def word_row(self, token: str) -> np.ndarray:
-        """Summed weights of the word's n-grams, and how many n-grams those are."""
+        """Summed weights of the word's n-grams, how many n-grams those are, and its script."""
         grams = _grams(token)
         at = [i for g in grams if (i := self.index.get(g)) is not None]
-        return np.append(self.weights[at].sum(axis=0) if at else np.zeros(len(self.classes)), len(grams)).astype(np.float32)
+        return np.append(self.weights[at].sum(axis=0) if at else np.zeros(len(self.classes)), [len(grams), _script(token)]).astype(np.float32)
 
     def scores(self, sentences: list[list[str]]) -> np.ndarray:
         """Logits of tokenised sentences (none empty)."""
-        if len(self.rows) > 300_000:
+        if len(self.rows) > 300_000 or self.table is None:
             self.rows.clear()
-            self.known.clear()
-        ids, starts = [], []
-        rows, known = self.rows, self.known
+            self.table = np.zeros((4096, len(self.classes) + 2), np.float32)
+        rows = self.rows
+        ids: list[int] = []
+        starts = np.cumsum([0, *(len(s) for s in sentences)])[:-1]
         for s in sentences:
-            starts.append(len(ids))
-            for t in s:
-                i = rows.get(t)
-                if i is None:
-                    i = rows[t] = len(known)
-                    known.append(self.word_row(t))
-                ids.append(i)
-        table = np.stack(known)
-        sums = np.add.reduceat(table[ids], starts, axis=0)
-        mix = np.array([self.index.get(_scripts(s), -1) for s in sentences])
+            try:
+                ids += [rows[t] for t in s]
+            except KeyError:
+                for t in s:
+                    i = rows.get(t)
+                    if i is None:
+                        i = rows[t] = len(rows)
+                        if i == len(self.table):
+                            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+                        self.table[i] = self.word_row(t)
+                    ids.append(i)
+        picked = self.table[ids]
+        sums = np.add.reduceat(picked[:, :-1], starts, axis=0)
+        bits = np.bitwise_or.reduceat(picked[:, -1].astype(np.uint8), starts)
+        mix = np.array([self.index.get(f"\x02{k}", -1) for k in range(16)])[bits]
         out = sums[:, :-1] / sums[:, -1:] + self.bias
         return out + np.where(mix[:, None] >= 0, self.weights[mix], 0)
 

@@ -6,16 +6,16 @@ Rules apply in order - emptiness, unclosed delimiters and abrupt endings, refusa
 and every one that holds is reported.
 
 Whether an ending without a terminator is abrupt is judged against the corpus: the last words of complete sentences and
-of inner list items are counted over all rows, and an ending that no two of those share is abrupt.
+of inner list items are counted over all answers, and an ending that no two of those share is abrupt.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -63,6 +63,9 @@ _ASKED = {
     "ta": r"\b(?:tamil|tamoul|tamilisch\w*)\b|தமிழ|तमिल",
 }
 _ASKED_RE = {k: re.compile(v) for k, v in _ASKED.items()}
+# beginnings of those names, one of which a text must hold (fixed values)
+_ASKED_LATIN = ("engl", "ingl", "angl", "span", "espa", "cast", "fren", "fran", "germ", "alem", "deut", "hindi", "tam")
+_ASKED_OTHER = ("ஆங்", "ஸ்பா", "பிர", "ஜெர்", "இந்தி", "ஹிந்", "தமிழ", "अंग्र", "इंग्ल", "स्पेन", "फ्र", "फ़्र", "जर्म", "हिं", "हिन्", "तमिल")
 _PERSONS = frozenset(
     """i me my mine we us our ours you your yours am are yo mi mis me nos nuestro nuestra tu su sus usted je j mon ma mes nous notre nos vous votre vos m
     ich mein meine meinem meinen mich wir uns unser sie ihr ihre ihrem ihren எனது என் எனக்கு எங்கள் உங்கள் உங்களுக்கு मेरा मेरे मेरी मुझे हम हमारा हमारे आप आपका आपके आपकी आपको re fwd aw""".split()
@@ -71,7 +74,8 @@ _PERSONS = frozenset(
 _CLOSED = re.compile(r"[.!?।॥。？！][\"'”’»)\]*_`]*$|[\"”»)\]]$|```$")
 _DANGLING = re.compile(r"(?:[,;:(\[{/&+=„“«‘¿¡<|\\]|(?<!\S)[-–—`*]+|[^\W\d_][-–—])$|(?:^|\n)[ \t>]*(?:\d{1,3}[.)]|[-*•])$")
 _DOTS = re.compile(r"(?:…|\.\.+)$")
-_TAIL_MARK = re.compile(r"[\s`]+$")
+_TAIL_MARKS = " \t\r\n\x0b\x0c\xa0`"
+_ITEM = re.compile(r"[ \t>]*\d{1,3}[.)][ \t]")
 _STOP = re.compile(r"[.!?।…]|\n[ \t>]*\d{1,3}[.)]")
 
 
@@ -101,7 +105,7 @@ _MAY_REFUSE = (
 
 def declines(text: str, sentences: list[str]) -> bool:
     """An answer that declines and helps with nothing: every sentence of it is a refusal or courtesy, and one is a refusal."""
-    if len(text) > 1500 or "\n1." in text or not sentences or len(sentences) > 8:
+    if len(text) > 800 or "\n1." in text or not sentences or len(sentences) > 5:
         return False
     low = text.lower()
     if not any(x in low for x in _MAY_REFUSE):
@@ -137,19 +141,20 @@ def ending(text: str, sentences: list[str], tokens: list[list[str]]) -> tuple[in
         return CUT, 0
     if text.endswith("```"):
         return OPEN, 0
-    t = _TAIL_MARK.sub("", text)
+    t = text.rstrip(_TAIL_MARKS)
     if not t:
         return OPEN, 0
-    if t != text.rstrip() and text.count("`") % 2:
+    end = t[-12:]
+    if t != text and text.count("`") % 2:
         return CUT, 0
     last = next((x for x in reversed(tokens) if x), [])
-    if _DOTS.search(t):
+    if _DOTS.search(end):
         return (ASK, tail_key(last)) if last else (OPEN, 0)
-    if _CLOSED.search(t):
+    if _CLOSED.search(end):
         opened = max(t.rfind(c) for c in "([{")
         closed = max(t.rfind(c) for c in ")]}")
-        return (CUT, 0) if opened > closed and len(t) - opened < 80 and not re.search(r"[.!?।]$", t) else (OPEN, 0)
-    if _DANGLING.search(t):
+        return (CUT, 0) if opened > closed and len(t) - opened < 80 and t[-1] not in ".!?।" else (OPEN, 0)
+    if _DANGLING.search(end):
         return CUT, 0
     if not last or not _STOP.search(t):  # never punctuated: nothing can be missed at its end
         return OPEN, 0
@@ -162,33 +167,37 @@ _FEATURES = "conversation_id string, turn long, msg_id long, role int, h long, b
 def _featuriser(model: langid.Model) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordIds()
+        short = [c.split("-")[0] for c in model.classes]
         for b in batches:
             cid, turn, msg, role, content = (b.column(k) for k in range(5))
             roles = role.to_pylist()
             texts = content.to_pylist()
             blank = [langid.is_filler(t) for t in texts]
-            split = [[] if e else langid.split_sentences(t) for e, t in zip(blank, texts, strict=True)]
+            split = [[] if e or r > 1 else langid.split_sentences(t) for e, r, t in zip(blank, roles, texts, strict=True)]
             toks = [[langid.sentence_tokens(s) for s in ss] for ss in split]
-            flat = [t for ts in toks for t in ts if t and (len(t) > 1 or len(t[0]) > 1)]
+            # sentences of more than one letter have a language;
+            # what other roles say is neither judged nor compared
+            says = [[len(t) > 1 or (len(t) == 1 and len(t[0]) > 1) for t in ts] for ts in toks]
+            flat = [t for ts, ok in zip(toks, says, strict=True) for t, k in zip(ts, ok, strict=True) if k]
             label = iter(model.predict(flat)[0].tolist()) if flat else iter(())
             cols: list[list] = [[] for _ in range(9)]
-            for t, r, e, ss, ts in zip(texts, roles, blank, split, toks, strict=True):
+            for t, r, e, ss, ts, ok in zip(texts, roles, blank, split, toks, says, strict=True):
                 weight: dict[str, int] = {}
-                for tok in ts:
-                    if tok and (len(tok) > 1 or len(tok[0]) > 1):
-                        lang = model.classes[next(label)].split("-")[0]
+                for tok, k in zip(ts, ok, strict=True):
+                    if k:
+                        lang = short[next(label)]
                         weight[lang] = weight.get(lang, 0) + len(tok)
                 cut, tail = (OPEN, 0) if e or r != 1 else ending(t, ss, ts)
                 asked: list[str] = []
                 if r == 0 and not e:
                     bare = _unaccented(t)
-                    asked = [k for k, p in _ASKED_RE.items() if p.search(bare)]
-                # tails of complete sentences, and of list items that another one follows
-                tails = [tail_key(x) for k, (s, x) in enumerate(zip(ss, ts, strict=True)) if x and (s.rstrip()[-1:] in ".!?।" or (k + 1 < len(ss) and re.match(r"[ \t>]*\d{1,3}[.)][ \t]", s)))] if not e else []
+                    asked = [k for k, p in _ASKED_RE.items() if p.search(bare)] if any(x in bare for x in _ASKED_LATIN) or (not bare.isascii() and any(x in bare for x in _ASKED_OTHER)) else []
+                # tails of an answer's complete sentences, and of its list items that another one follows
+                tails = [tail_key(x) for k, (s, x) in enumerate(zip(ss, ts, strict=True)) if x and (s.rstrip()[-1:] in ".!?।" or (k + 1 < len(ss) and _ITEM.match(s)))] if r == 1 else []
                 # the language with most words first
-                langs = sorted(weight, key=lambda k: (-weight[k], k))
+                langs = sorted(weight, key=lambda k: (-weight[k], k)) if len(weight) > 1 else list(weight)
                 ids = known.ids([w for x in ts for w in x if w not in _PERSONS])
-                for c, v in zip(cols, (xxhash.xxh64_intdigest(f"{r}\x1f{t}") - 2**63, e, r == 1 and not e and declines(t, ss), cut, tail, langs, asked, np.array(ids, np.uint64).astype(np.uint32).tobytes(), tails), strict=True):
+                for c, v in zip(cols, (xxhash.xxh64_intdigest(f"{r}\x1f{t}") - 2**63, e, r == 1 and not e and declines(t, ss), cut, tail, langs, asked, array("I", [i & 0xFFFFFFFF for i in ids]).tobytes(), tails), strict=True):
                     c.append(v)
             kinds = [pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.binary(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
@@ -206,10 +215,11 @@ def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for q, a in zip(b.column("q_words").to_pylist(), b.column("a_words").to_pylist(), strict=True):
             n, m = len(a or b"") // 4, len(q or b"") // 4
             same = False
-            if n >= 4 and m:
-                x, y = np.frombuffer(a, np.uint32), np.frombuffer(q, np.uint32)
-                if np.isin(x, y).sum() >= COPIED * n:
-                    same = lcs_length(x.tolist(), y.tolist()) >= COPIED * n
+            if n >= 4 and COPIED * n <= m:  # an answer that is longer can't stand in the question
+                x, y = memoryview(a).cast("I").tolist(), memoryview(q).cast("I").tolist()
+                known = set(y)
+                if sum(w in known for w in x) >= COPIED * n:
+                    same = lcs_length(x, y) >= COPIED * n
             out.append(same)
         keep = [c for c in b.schema.names if c not in ("q_words", "a_words")]
         yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(out, pa.bool_())], [*keep, "copy"])
