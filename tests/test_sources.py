@@ -78,7 +78,7 @@ def test_runs(tmp_path):
     root = str(tmp_path)
     a = runs.allocate(root, {"x": (1, 2)})
     assert runs.allocate(root, {"x": [1, 2]}) == a and runs.allocate(root, {"x": 3}) != a
-    assert runs.allocate(root, {"x": 3}, "new") not in (a, runs.allocate(root, {"x": 3}))
+    assert len({a, runs.allocate(root, {"x": 3}), runs.allocate(root, {"x": 3}, "new")}) == 3
     files.write_json(os.path.join(a, "run_state.json"), {"final_evaluation_complete": True})
     assert not runs.complete(a)
     files.write_json(os.path.join(a, "run_state.json"), {"final_evaluation_complete": True, "completed_at": "now"})

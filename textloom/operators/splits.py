@@ -142,3 +142,8 @@ def ordered_split(items: DataFrame, key: str, seed: int = 42, fractions: tuple[f
     train, val = F.when(tight, F.greatest(F.lit(1), F.col("_n") - 2)).otherwise(train), F.when(tight, 1).otherwise(val)
     split = F.when(F.col("position") <= train, "train").when(F.col("position") <= train + val, "validation").otherwise("test")
     return r.withColumn("split", split).drop("_h", "_range", "b", "_all", "_n")
+
+
+def shuffled(rows: DataFrame, seed: int = 42, key: str = "row_uid") -> DataFrame:
+    """The rows in the order of a seeded hash; who is in a split doesn't change."""
+    return rows.orderBy(T.sha1_seeded(F.col(key), seed), key)

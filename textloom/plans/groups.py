@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textloom.functions import text as T
 from textloom.operators import forest, overlap, packing, turns
 from textloom.plans.logsql import LOG
+from textloom.plans.oracle import label
 from textloom.session import materialize, table
 
 
@@ -82,4 +83,18 @@ ORACLE: dict[str, str] = {
     "p4_found": f"""WITH {LOG}, long AS (
   SELECT cid, sum(length(content)) AS n FROM msgs JOIN judged USING (cid) WHERE NOT dropped GROUP BY cid)
 SELECT profile_name, cid AS conversation_id FROM long JOIN pack_profiles ON n > max_chars""",
+    "p6_found": rf"""WITH RECURSIVE
+owned AS (
+  SELECT DISTINCT {label("conversation_id")} AS id, lower(regexp_replace(account_id, '[^\p{{L}}\p{{N}}]+', '', 'g')) AS acct FROM messages),
+splits AS (SELECT DISTINCT id, split FROM (SELECT {label("conversation_id")} AS id, lower({label("split_name")}) AS split FROM split_assignments) WHERE id <> '' AND split <> ''),
+ids AS (SELECT id FROM owned UNION SELECT {label("conversation_id")} FROM threads UNION SELECT id FROM splits),
+half AS (
+  SELECT id AS u, chr(1) || acct AS v FROM owned WHERE id <> '' AND acct NOT IN ({", ".join(f"'{x}'" for x in T.NO_ACCOUNT)})
+  UNION SELECT {label("t.conversation_id")}, coalesce(i.id, {label("t.parent_id")}) FROM threads t LEFT JOIN ids i ON lower(i.id) = lower({label("t.parent_id")}) WHERE {label("t.parent_id")} <> ''
+  UNION SELECT b.id, a.id FROM ids a JOIN ids b ON starts_with(b.id, a.id) AND length(b.id) > length(a.id) AND NOT regexp_full_match(substr(b.id, length(a.id) + 1, 1), '[\p{{L}}\p{{N}}]') WHERE a.id <> ''),
+edge AS (SELECT u, v FROM half UNION SELECT v, u FROM half),
+reach AS (SELECT u AS node, u AS root FROM edge UNION SELECT e.v, r.root FROM reach r JOIN edge e ON e.u = r.node),
+member AS (SELECT node, min(root) AS root FROM reach GROUP BY node),
+placed AS (SELECT s.id, s.split, coalesce(root, s.id) AS root FROM splits s LEFT JOIN member ON node = s.id)
+SELECT DISTINCT id AS conversation_id FROM placed WHERE root IN (SELECT root FROM placed GROUP BY root HAVING count(DISTINCT split) > 1)""",
 }
