@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from textloom.llm import vocab
 from textloom.session import materialize, ship
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 2_000_000
 _SPLIT = "block string, doc_id long, codes binary, word string, code int"
 _SPLIT_ARROW = pa.schema([("block", pa.string()), ("doc_id", pa.int64()), ("codes", pa.binary()), ("word", pa.string()), ("code", pa.int32())])
 
