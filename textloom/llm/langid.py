@@ -313,7 +313,7 @@ def fit(lang_samples: DataFrame, labelled: DataFrame | None = None, per_stratum:
     if labelled is None:
         return model
     w = W.partitionBy("lang_code", "stratum").orderBy("h", "text")
-    x = labelled.filter(F.col("lang_code").isin(model.classes) & (F.col("text") != "")).select("lang_code", "stratum", F.substring("text", 1, 4000).alias("text"), F.xxhash64("text").alias("h"))
+    x = labelled.filter(F.col("lang_code").isin(model.classes) & (F.col("text") != "")).select("lang_code", "stratum", "text", F.xxhash64("text").alias("h"))
     # each task keeps its own least rows before the shuffle
     sample = x.withColumn("k", F.row_number().over(w)).filter(F.col("k") <= per_stratum).select("lang_code", "text").collect()
     return train(clean_rows + agreeing(model, sorted((r.lang_code, r.text) for r in sample)))
