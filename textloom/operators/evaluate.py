@@ -99,18 +99,25 @@ def thresholds(per: DataFrame, by: str) -> DataFrame:
     all_ = W.partitionBy(by)
     g = g.withColumn("upto", F.sum("n").over(up)).withColumn("queries", F.sum("n").over(all_)).withColumn("acc", F.sum("n").over(down)).withColumn("cor", F.sum("ok").over(down))
     g = materialize(g, "scores")
-    total = g.groupBy(by).agg(F.first("queries").alias("queries"))
-    i = total.select(by, "queries", F.explode(F.sequence(F.lit(0), F.lit(200))).alias("i")).withColumn("num", (F.col("queries") - 1) * F.col("i"))
-    i = i.withColumn("lo", F.floor(F.col("num") / 200)).withColumn("rest", F.pmod("num", F.lit(200))).withColumn("hi", F.col("lo") + F.when(F.col("rest") > 0, 1).otherwise(0))
-    # the score at 0-based position p is that of the group with upto - n <= p < upto
-    spans = g.select(by, "top_score", (F.col("upto") - F.col("n")).alias("a"), F.col("upto").alias("b"))
-    at = lambda p, name: i.select(by, "i", p).join(spans, by).filter((F.col(p) >= F.col("a")) & (F.col(p) < F.col("b"))).select(by, "i", F.col("top_score").alias(name))
-    t = i.join(at("lo", "s0"), [by, "i"]).join(at("hi", "s1"), [by, "i"])
-    value = F.when(F.col("rest") == 0, F.col("s0")).otherwise(F.col("s0") + (F.col("s1") - F.col("s0")) * (F.col("rest") / 200.0))
-    t = t.select(by, "queries", value.alias("threshold")).distinct()
-    # accepted: scores at or over the threshold; the least such score group holds the running sums
-    j = t.join(g.select(by, "top_score", "acc", "cor"), by).filter(F.col("top_score") >= F.col("threshold"))
-    return j.groupBy(by, "threshold", "queries").agg(F.min_by(F.struct("acc", "cor"), "top_score").alias("m")).select(by, "threshold", F.col("m.acc").alias("accepted"), F.col("m.cor").alias("correct"), "queries")
+    # the quantile i of 200 lies between the 0-based positions floor and ceil of (n - 1) i / 200; a group of equal scores
+    # holds the positions from upto - n to upto - 1, so it finds the i that it answers by arithmetic
+    m, first, last = F.greatest(F.col("queries") - 1, F.lit(1)), F.col("upto") - F.col("n"), F.col("upto") - 1
+    single = F.col("queries") == 1
+    at_least = lambda x: F.floor((x + m - 1) / m).cast("bigint")
+
+    def answers(lo: Column, hi: Column, name: str) -> DataFrame:
+        lo, hi = F.when(single, 0).otherwise(F.greatest(lo, F.lit(0))).cast("bigint"), F.when(single, 200).otherwise(F.least(hi, F.lit(200))).cast("bigint")
+        mine = F.when(lo <= hi, F.sequence(lo, F.greatest(lo, hi))).otherwise(F.array().cast("array<bigint>"))
+        return g.select(by, "queries", F.struct(F.col("top_score").alias("s"), "acc", "cor").alias(name), F.explode(mine).alias("i"))
+
+    below = answers(at_least(200 * first), at_least(200 * (last + 1)) - 1, "s0")
+    above = answers(F.floor(200 * (first - 1) / m).cast("bigint") + 1, F.floor(200 * last / m).cast("bigint"), "s1").drop("queries")
+    rest = F.pmod((F.col("queries") - 1) * F.col("i"), F.lit(200))
+    value = F.when(rest == 0, F.col("s0.s")).otherwise(F.col("s0.s") + (F.col("s1.s") - F.col("s0.s")) * (rest / 200.0))
+    t = below.join(above, [by, "i"]).select(by, "queries", value.alias("threshold"), "s0", "s1")
+    # the least score at or over the threshold is one of the two, and its group knows how many scores lie there
+    hit = F.when(F.col("threshold") <= F.col("s0.s"), F.col("s0")).otherwise(F.col("s1"))
+    return t.select(by, "threshold", hit["acc"].alias("accepted"), hit["cor"].alias("correct"), "queries").distinct()
 
 
 def calibration(per: DataFrame, by: str) -> DataFrame:

@@ -36,8 +36,10 @@ def fallback(anchors: DataFrame, corpus: DataFrame, seed: int = 42) -> DataFrame
     """
     h = T.sha1_seeded(F.col("did").cast("string"), seed)
     low = corpus.groupBy("component").agg(F.min(F.struct(h.alias("h"), F.col("did"))).alias("m")).select("component", "m.h", "m.did")
-    two = low.orderBy("h", "did").limit(2).agg(F.sort_array(F.collect_list(F.struct("h", "did", "component"))).alias("ring"))
-    x = anchors.join(F.broadcast(two)).withColumn("pick", F.try_element_at(F.filter("ring", lambda r: r["component"] != F.col("component")), F.lit(1)))
+    two = low.orderBy("h", "did").limit(2).collect()
+    kind = dict(corpus.dtypes)
+    ring = F.array(*(F.struct(F.lit(r.did).cast(kind["did"]).alias("did"), F.lit(r.component).cast(kind["component"]).alias("component")) for r in two)) if two else F.array().cast(f"array<struct<did:{kind['did']},component:{kind['component']}>>")
+    x = anchors.withColumn("pick", F.try_element_at(F.filter(ring, lambda r: r["component"] != F.col("component")), F.lit(1)))
     did = F.when(F.col("pick").isNull(), F.raise_error("a single group has no negatives").cast("bigint")).otherwise(F.col("pick.did"))
     return x.select("qid", did.alias("did"), F.lit(None).cast("double").alias("score"), F.lit("random_fallback").alias("mode"))
 
