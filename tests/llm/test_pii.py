@@ -79,3 +79,13 @@ def test_tables(spark, model):
     assert red == {1: "My name is [PERSON]. Mail [EMAIL] or [EMAIL].", 2: None, 3: "", 4: "x" * 200_000}
     assert pii.find(docs.limit(0), model).count() == 0
     assert pii.fit(docs.limit(0), spark.createDataFrame([("Anna",), (None,)], "given_name string")).find("mail a@b.test") == [pii.Span(5, 13, "email", pii.propose("mail a@b.test", pii.Lexicon())[0].features)]
+
+
+def test_lexicon_is_counted_over_all_documents(spark):
+    rare = ["Anna Zorbique and Ravi Zorbique signed the form.", "We met at 12 Oak Street, Quellmar.", "Then to 9 Elm Road, Quellmar."]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rare + [f"Nothing to see in line {k}." for k in range(20_000)])], "doc_id long, text string")
+    names = spark.createDataFrame([("Anna",), ("Ravi",)], "given_name string")
+    lex = pii.fit(docs, names).lex
+    assert lex == pii.learn(rare, ["Anna", "Ravi"]) and lex.surnames == {"zorbique"} and lex.towns == {"quellmar"}
+    with pytest.raises(ValueError):
+        pii.fit(docs, names, most=1)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from textloom.session import ship
 
 TYPES = ("email", "phone", "id_number", "address", "person")
-SAMPLE_DOCUMENTS = 3000  # bound on the documents from which surnames and towns are learned
+LEXICON_MOST = 1_000_000  # bound on the surnames and towns that every task holds (about 100 MB)
 
 # ---------------------------------------------------------------- proposals
 
@@ -597,13 +597,9 @@ class Model:
 _FIRM_END = re.compile(r"\s*(?:$|[\n\r.|·;)]|தான்|ஆகும்|में|in spring)")
 
 
-def learn(texts: list[str], given: list[str]) -> Lexicon:
-    """Lexicon of the given names with surnames (words beside them, seen twice) and towns (ends of addresses that stop firmly, seen twice)."""
-    names = {g.lower() for g in given if g}
-    sur: Counter[str] = Counter()
-    town: Counter[str] = Counter()
-    empty = _lexicon(given, [], [])
-    for t in texts:
+def _beside(t: str, names: frozenset[str], first: frozenset[str]) -> Iterator[tuple[str, str]]:
+    """(surname or town, lower-case text) for every word beside a given name and every end of an address that stops firmly."""
+    if not first.isdisjoint(_PLAIN.findall(t.lower())):
         toks = list(_WORD.finditer(t))
         for i, m in enumerate(toks):
             if m[0].lower() in names and (m[0][0].isupper() or not m[0][0].isascii()):
@@ -612,15 +608,32 @@ def learn(texts: list[str], given: list[str]) -> Lexicon:
                     if re.fullmatch(r"[A-Z]", nxt[0]) and t[nxt.end() : nxt.end() + 2] == ". " and i + 2 < len(toks):
                         nxt, gap = toks[i + 2], " "
                     if gap in (" ", "\xa0") and (nxt[0][0].isupper() or (not nxt[0][0].isascii() and not m[0][0].isascii())) and len(nxt[0]) > 3:
-                        sur.update(p.lower() for p in nxt[0].split("-"))
+                        yield from (("surname", p.lower()) for p in nxt[0].split("-"))
                 if i and t[toks[i - 1].end() : m.start()] == ", " and toks[i - 1][0][0].isupper() and len(toks[i - 1][0]) > 3:
-                    sur.update(p.lower() for p in toks[i - 1][0].split("-"))
-        for lo, hi in _windows(t):
-            for p in _ADDRESS:
-                for m in p.finditer(t, lo, hi):
-                    if _FIRM_END.match(t, m.end("town")):
-                        town[re.sub(r"\s+", " ", m["town"]).lower()] += 1
-    return _lexicon(given, [w for w, n in sur.items() if n > 1 and w not in empty.given and w not in _NO_NAME], [w for w, n in town.items() if n > 1])
+                    yield from (("surname", p.lower()) for p in toks[i - 1][0].split("-"))
+    for lo, hi in _windows(t):
+        for p in _ADDRESS:
+            for m in p.finditer(t, lo, hi):
+                if _FIRM_END.match(t, m.end("town")):
+                    yield "town", re.sub(r"\s+", " ", m["town"]).lower()
+
+
+def _names(given: list[str]) -> tuple[frozenset[str], frozenset[str]]:
+    """The given names in lower case, and the first letters of each up to a mark, one of which a text must hold."""
+    names = frozenset(g.lower() for g in given if g)
+    return names, frozenset(m[0] for m in map(_PLAIN.search, names) if m)
+
+
+def _seen_twice(given: list[str], counts: Iterator[tuple[str, str, int]]) -> Lexicon:
+    empty = _lexicon(given, [], [])
+    seen = sorted((k, w) for k, w, n in counts if n > 1)
+    return _lexicon(given, [w for k, w in seen if k == "surname" and w not in empty.given and w not in _NO_NAME], [w for k, w in seen if k == "town"])
+
+
+def learn(texts: list[str], given: list[str]) -> Lexicon:
+    """Lexicon of the given names with surnames (words beside them, seen twice) and towns (ends of addresses that stop firmly, seen twice)."""
+    counts = Counter(x for t in texts for x in _beside(t, *_names(given)))
+    return _seen_twice(given, ((k, w, n) for (k, w), n in counts.items()))
 
 
 def train(texts: list[str], given: list[str]) -> Model:
@@ -628,17 +641,40 @@ def train(texts: list[str], given: list[str]) -> Model:
     return Model(lex, Field().fit(labelled_text(lex)))
 
 
-def fit(documents: DataFrame, known_names: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Model:
-    """Model from the ``sample`` documents of the least hash and the table of given names, which is small by nature."""
-    given = [r[0] for r in known_names.select("given_name").dropna().distinct().limit(100_000).collect()]
-    # a first cut by the hash leaves about twice the sample, however many documents and tasks there are
-    share = min(1.0, 2.0 * sample / max(1, documents.count()))
-    h = F.xxhash64("doc_id", "text")
-    first = documents.filter("text <> ''")
-    if share < 1:
-        first = first.filter(h <= F.lit(int(-(2**63) + share * 2**64)))
-    rows = first.select("text", h.alias("h")).orderBy("h", "text").limit(sample).collect()
-    return train([r.text for r in rows], sorted(given))
+def _counter(given: list[str]):
+    names, first = _names(given)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[tuple[str, str]] = Counter()
+
+        def out() -> pa.RecordBatch:
+            kinds, found = zip(*counts, strict=True) if counts else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(found, pa.string()), pa.array(list(counts.values()), pa.int64())], ["kind", "found", "n"])
+
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                counts.update(_beside(t, names, first))
+            if len(counts) > 100_000:
+                yield out()
+                counts.clear()
+        yield out()
+
+    return run
+
+
+def fit(documents: DataFrame, known_names: DataFrame, most: int = LEXICON_MOST) -> Model:
+    """Model from all documents and the table of given names, which is small by nature.
+
+    Surnames and towns are counted over every document; a lexicon of more than ``most`` entries is refused, not cut.
+    """
+    ship(documents.sparkSession)
+    given = sorted(r[0] for r in known_names.select("given_name").dropna().distinct().limit(100_000).collect())
+    found = documents.filter("text <> ''").select(F.col("text").cast("string")).mapInArrow(_counter(given), "kind string, found string, n long")
+    rows = found.groupBy("kind", "found").agg(F.sum("n").alias("n")).filter("n > 1").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} surnames and towns: too many to send to every task")
+    lex = _seen_twice(given, ((r.kind, r.found, r.n) for r in rows))
+    return Model(lex, Field().fit(labelled_text(lex)))
 
 
 def _finder(model: Model):
