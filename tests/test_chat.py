@@ -83,3 +83,20 @@ def test_prompts(talk, spark):
     alone = spark.createDataFrame([("x", [("assistant", "hi")]), ("y", [("user", "hi")])], "conversation_id string, messages array<struct<role:string,content:string>>")
     got = chat.prompts(alone).collect()
     assert [(r.conversation_id, r.prompt, r.last_prompt, r.expected) for r in got] == [("x", [], None, "hi")]
+
+
+def test_truncation_keeps_whoever_has_the_last_turn(spark):
+    said = [("user_last", ["user", "assistant", "user"], 9), ("assistant_last", ["user", "assistant"], 9), ("cut_away", ["user", "assistant", "user"], 600)]
+    rows = [(c, [(r, "x" * n if k == 2 else "hello") for k, r in enumerate(roles)]) for c, roles, n in said]
+    talks = spark.createDataFrame(rows, "conversation_id string, messages array<struct<role:string,content:string>>")
+    got = chat.labelled(talks, 512, strict=False).collect()
+    assert {r.conversation_id for r in got} == {"user_last", "assistant_last"}
+    assert all("".join(chr(x) for x in r.labels if x != chat.MASKED) == "hello" for r in got)
+
+
+def test_label_truncation_query_has_conversations_that_end_otherwise(spark, monkeypatch):
+    from textloom.plans import reference
+
+    talks = spark.createDataFrame([("c", [("user", "a"), ("assistant", "b"), ("user", "c")])], "conversation_id string, messages array<struct<role:string,content:string>>")
+    monkeypatch.setattr(reference, "_conversations", lambda s, d: talks)
+    assert [(r.conversation_id, r.n_labels) for r in reference.label_truncation(spark, "").collect()] == [("c", 1)]

@@ -123,16 +123,24 @@ def mask(tokens: Column, spans: Column) -> Column:
     return F.transform(tokens, lambda t: F.when((t["end"] > t["start"]) & F.exists(spans, lambda s: (t["start"] < s["end"]) & (t["end"] > s["start"])), t["id"]).otherwise(F.lit(MASKED)))
 
 
-def labelled(conversations: DataFrame, longest: int | None = None) -> DataFrame:
-    """conversation_id, input_ids, labels by the code-point tokenizer, the newest ``longest`` tokens. A conversation left without a label is an error."""
+def labelled(conversations: DataFrame, longest: int | None = None, strict: bool = True) -> DataFrame:
+    """conversation_id, input_ids, labels by the code-point tokenizer, the newest ``longest`` tokens.
+
+    A conversation that the cut leaves without a label is an error, or with ``strict`` off left out.
+    """
     x = conversations.select("conversation_id", render(F.col("messages")).alias("r")).select("conversation_id", code_point_tokens(F.col("r.text")).alias("t"), F.col("r.spans").alias("s"))
     x = x.select("conversation_id", F.transform("t", lambda t: t["id"]).alias("input_ids"), mask(F.col("t"), F.col("s")).alias("labels"))
     if longest is None:
         return x
     cut = lambda c: F.slice(c, F.greatest(F.lit(1), F.size(c) - longest + 1), longest)
     x = x.select("conversation_id", cut("input_ids").alias("input_ids"), cut("labels").alias("labels"))
+    kept = F.exists("labels", lambda v: v != MASKED)
+    if not strict:
+        # a filter on the labels themselves would be pushed down and compute them anew for every token
+        rows = F.when(kept, F.array(F.struct("input_ids", "labels")))
+        return x.select("conversation_id", F.inline_outer(rows)).filter("labels IS NOT NULL")
     fail = F.raise_error(F.concat(F.lit("no assistant token left in "), F.col("conversation_id"))).cast("array<int>")
-    return x.withColumn("labels", F.when(F.exists("labels", lambda v: v != MASKED), F.col("labels")).otherwise(fail))
+    return x.withColumn("labels", F.when(kept, F.col("labels")).otherwise(fail))
 
 
 def collate(rows: DataFrame, batch: str, pad_id: int = 0) -> DataFrame:

@@ -183,10 +183,8 @@ def assistant_labels(spark: SparkSession, d: str) -> DataFrame:
 
 
 def label_truncation(spark: SparkSession, d: str) -> DataFrame:
-    """The newest 512 tokens of each conversation; an assistant turn ends every sound one that keeps a label."""
-    x = chat.prompts(_conversations(spark, d)).select("conversation_id")
-    c = _conversations(spark, d).join(x, "conversation_id", "left_semi").filter(F.element_at("messages", -1)["role"] == "assistant")
-    return _sums(chat.labelled(c, 512), "conversation_id")
+    """The newest 512 tokens of each conversation that keeps a label among them, whoever has the last turn."""
+    return _sums(chat.labelled(_conversations(spark, d), 512, strict=False), "conversation_id")
 
 
 def collate_padding(spark: SparkSession, d: str) -> DataFrame:
