@@ -305,6 +305,7 @@ def hard_negative_margins(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _bundle(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """With the caps of the reference's smoke profile, 200 queries and 1,000 passages, as the SQL has them (vm: 1,000 and 5,000; full: 2,000 and 10,000)."""
     s = materialize(_split(spark, d), "split")
     return evaluate.bundle(s.filter("split = 'validation'"), s, 42, 200, 1000)
 
