@@ -59,3 +59,12 @@ def test_refusals():
         assert pairs.declines(t, cut(t)), t
     for t in ("It is not possible to skip it, although it can be cleared.", "Do not close the window.", "No se ha perdido nada.", A):
         assert not pairs.declines(t, cut(t)), t
+
+
+def test_a_repeated_delivery_closes_an_ending_once(spark, model):
+    cut = A + " Then wait for the green lamp"
+    once = ("other", "2", "assistant", "First, open the panel. Now look at the green lamp.")
+    asked = [*pair("cut", cut), ("other", "1", "user", Q), once]
+    assert run(spark, model, asked) == {("cut", 2): ["truncated"]}
+    assert run(spark, model, [*asked, once, once]) == {("cut", 2): ["truncated"]}
+    assert ("cut", 2) not in run(spark, model, [*asked, ("more", "1", "user", Q), ("more", "2", *once[2:])])

@@ -268,12 +268,12 @@ def defects(messages: DataFrame, model: langid.Model, seen: int = SEEN) -> DataF
     ev = turns.events(messages, F.col("msg_id").cast("bigint").alias("msg_id")).filter("turn IS NOT NULL")
     code = F.when(F.col("role") == "user", 0).when(F.col("role") == "assistant", 1).otherwise(2)
     f = ev.select("conversation_id", "turn", "msg_id", code.alias("role"), "content").mapInArrow(_featuriser(model), _FEATURES)
-    f = materialize(f, "features")
-    known = f.select(F.explode("tails").alias("tail")).groupBy("tail").count().filter(F.col("count") >= seen).select("tail", F.lit(True).alias("complete"))
-    rest = [F.min_by(c, "msg_id").alias(c) for c in ("blank", "refusal", "cut", "tail", "langs", "asked", "words")]
-    once = f.drop("tails").groupBy("conversation_id", "turn", "role", "h").agg(F.min("msg_id").alias("msg_id"), *rest)
+    rest = [F.min_by(c, "msg_id").alias(c) for c in ("blank", "refusal", "cut", "tail", "langs", "asked", "words", "tails")]
+    once = materialize(f.groupBy("conversation_id", "turn", "role", "h").agg(F.min("msg_id").alias("msg_id"), *rest), "features")
+    # endings are counted over messages, not deliveries
+    known = once.select(F.explode("tails").alias("tail")).groupBy("tail").count().filter(F.col("count") >= seen).select("tail", F.lit(True).alias("complete"))
     schema = "conversation_id string, turn long, empty boolean, cut int, tail long, refusal boolean, a_langs array<string>, q_langs array<string>, copy boolean"
-    pairs = _runs(once).mapInArrow(_copies, schema)
+    pairs = _runs(once.drop("tails")).mapInArrow(_copies, schema)
     pairs = pairs.join(known, "tail", "left")
     ends_short = (F.col("cut") == CUT) | ((F.col("cut") == ASK) & F.col("complete").isNull())
     foreign = (F.size("a_langs") > 0) & (F.size("q_langs") > 0) & ~F.arrays_overlap("a_langs", "q_langs")
