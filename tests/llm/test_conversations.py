@@ -63,13 +63,45 @@ def test_against_the_rules(spark, seed):
     assert all(x for ms in got.values() for _, x in ms)
 
 
+LOG = "msg_id long, conversation_id string, turn_index string, role string, content string, received_at timestamp, what string"
+
+
+def log(spark, rows):
+    """Rows (conversation, number, version, kind, role, content), in any order."""
+    from datetime import datetime, timedelta
+
+    at = datetime(2031, 1, 1)
+    return spark.createDataFrame([(i, c, n, r, x, at + timedelta(minutes=v), k) for i, (c, n, v, k, r, x) in enumerate(rows)], LOG)
+
+
 def test_event_log(spark):
     rows = [("c", 1, 1, "create", "user", "a"), ("c", 1, 3, "edit", "user", "abc"), ("c", 2, 2, None, "assistant", "b"), ("c", 3, 1, "create", "user", "x"), ("c", 3, 2, "delete", "user", None), ("c", 2, 9, "retry", "assistant", "bb")]
     ev = spark.createDataFrame(rows, "conversation_id string, turn long, v int, kind string, role string, content string").withColumn("content", F.coalesce("content", F.lit("")))
-    got = sorted((r.turn, r.role, r.n_chars, r.clash) for r in conversations.fold_events(ev, ["v"], F.col("kind")).collect())
+    got = sorted((r.turn, r.role, r.n_chars, r.clash) for r in conversations.facts(conversations.fold_events(ev, ("v",), F.col("kind"))).collect())
     assert got == [(1, "user", 3, False), (2, "assistant", 2, False)]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_edits_and_deletes_in_any_order(spark, seed):
+    rows = [
+        # an edit that arrives first, a reply that was retried, a turn that was deleted for good: kept
+        ("ok", "1", 5, "edit", "user", "asked better"), ("ok", "1", 1, "create", "user", "asked"), ("ok", "2", 9, "retry", "assistant", "second answer"), ("ok", "2", 2, "create", "assistant", "first answer"), ("ok", "3", 3, None, "user", "gone"), ("ok", "3", 4, "DELETE ", "user", None),
+        # two creates under one number clash, however late
+        ("clash", "1", 1, "create", "user", "a"), ("clash", "2", 2, "create", "assistant", "b"), ("clash", "2", 3, "create", "assistant", "c"),
+        # the same clash, settled by an edit
+        ("settled", "1", 1, "create", "user", "a"), ("settled", "2", 2, "create", "assistant", "b"), ("settled", "2", 3, "create", "assistant", "c"), ("settled", "2", 4, "edit", "assistant", "d"),
+        # a deleted turn leaves a hole; what comes back after a delete lives
+        ("hole", "1", 1, "create", "user", "a"), ("hole", "2", 2, "create", "assistant", "b"), ("hole", "3", 1, "create", "user", "q"), ("hole", "4", 1, "create", "assistant", "r"), ("hole", "2", 8, "delete", "assistant", ""),
+        ("back", "1", 1, "create", "user", "a"), ("back", "2", 2, "create", "assistant", "b"), ("back", "2", 3, "delete", "assistant", ""), ("back", "2", 4, "create", "assistant", "b"),
+        ("all gone", "1", 1, "create", "user", "a"), ("all gone", "1", 2, "delete", "user", ""),
+    ]
+    random.Random(seed).shuffle(rows)
+    df = log(spark, rows)
+    assert {r.conversation_id for r in conversations.dropped(df, "what").collect()} == {"clash", "hole", "all gone"}
+    got = {r.conversation_id: [m.content for m in r.messages] for r in conversations.rebuilt(df, "what").collect()}
+    assert got == {"ok": ["asked better", "second answer"], "settled": ["a", "d"], "back": ["a", "b"]}
+
+
 def test_empty_and_long(spark):
     assert conversations.dropped(frame(spark, [])).count() == conversations.rebuilt(frame(spark, [])).count() == 0
     long = [("c", str(2**40 + k), ("user", "assistant")[k % 2], "x" * 100_000) for k in range(4)] + [("d", "9" * 25, "user", "x")]
