@@ -10,21 +10,23 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.session import materialize
+from textloom.session import materialize, release
 
 
 def _flatten(hooks: DataFrame) -> DataFrame:
     """(u, p) hooks without cycles except roots (u = p), shortened until every p is a root."""
-    p = hooks
+    p, last = hooks, None
     while True:
         up = p.select(F.col("u").alias("p"), F.col("p").alias("q"))
         j = materialize(p.join(up, "p", "left").select("u", F.coalesce("q", "p").alias("p"), (F.coalesce("q", "p") != F.col("p")).alias("moved")), "jump")
+        if last is not None:
+            release(last)
         if not j.filter("moved").limit(1).count():
             return j.select("u", "p")
-        p = j.select("u", "p")
+        p, last = j.select("u", "p"), j
 
 
 def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -37,6 +39,7 @@ def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     e = materialize(e.select(F.col("a").alias("u"), F.col("b").alias("v"), F.struct(F.xxhash64("a", "b").alias("h"), "a", "b").alias("w")), "edges")
     parents: list[DataFrame] = []
     picked: list[DataFrame] = []
+    picks: list[DataFrame] = []
     while e.limit(1).count():
         ends = e.select(F.explode(F.array(F.struct("u", "v", "w"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"), "w"))).alias("x")).select("x.*")
         pick = materialize(ends.groupBy("u").agg(F.min(F.struct("w", "v")).alias("m")).select("u", "m.v", "m.w"), "pick")
@@ -46,9 +49,11 @@ def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         flat = _flatten(hooks)
         parents.append(flat)
         picked.append(pick.select("w.a", "w.b"))
+        picks.append(pick)
         pu, pv = flat.select("u", F.col("p").alias("pu")), flat.select(F.col("u").alias("v"), F.col("p").alias("pv"))
         nxt = e.join(pu, "u").join(pv, "v").filter("pu <> pv").select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v"), "w")
-        e = materialize(nxt.groupBy("u", "v").agg(F.min("w").alias("w")), "edges")
+        last, e = e, materialize(nxt.groupBy("u", "v").agg(F.min("w").alias("w")), "edges")
+        release(last)
     if not parents:
         none = edges.sparkSession.createDataFrame([], "u string, p string")
         return none.toDF("node", "root"), none.toDF("u", "v")
@@ -57,84 +62,7 @@ def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     for level in reversed(parents[:-1]):
         up = members.select(F.col("u").alias("p"), F.col("p").alias("q"))
         members = level.join(up, "p", "left").select("u", F.coalesce("q", "p").alias("p"))
-    forest = reduce(DataFrame.unionByName, picked).distinct()
+    forest = materialize(reduce(DataFrame.unionByName, picked).distinct(), "forest")
+    for pick in picks:
+        release(pick)
     return members.toDF("node", "root"), forest.toDF("u", "v")
-
-
-def star_edges(pairs: DataFrame, hot: int = 10_000, arms: int = 64) -> DataFrame:
-    """Edges from (member, key) rows to one hub per key, instead of all pairs. Null members and keys relate nothing.
-
-    A key with more than ``hot`` members gets ``arms`` hubs under one, so no node has all its edges. There are fewer than
-    rows / ``hot`` such keys, which bounds what is broadcast.
-    """
-    p = pairs.select("member", "key").dropna().distinct()
-    big = p.groupBy("key").count().filter(F.col("count") > hot).select("key", F.lit(True).alias("big"))
-    x = p.join(F.broadcast(big), "key", "left")
-    hub = F.concat(F.lit("\x01"), "key")
-    arm = F.when(F.col("big"), F.concat(hub, F.lit("\x01"), F.pmod(F.xxhash64("member"), F.lit(arms)).cast("string")))
-    x = x.select(F.col("member").alias("u"), F.coalesce(arm, hub).alias("v"), F.when(F.col("big"), hub).alias("up"))
-    return x.select("u", "v").unionByName(x.filter("up IS NOT NULL").select(F.col("v").alias("u"), F.col("up").alias("v")).distinct())
-
-
-def continuation_edges(ids: DataFrame, hot: int = 10_000) -> DataFrame:
-    """Edges from each id to every other whole id that it continues: that id, then a marker that starts with neither letter nor digit.
-
-    ``ids``: distinct column id. A beginning that very many ids share without being an id itself (a common prefix) is
-    taken out before the shuffle; there are fewer than rows x beginnings / ``hot`` of those.
-    """
-    at = F.filter(F.sequence(F.lit(1), F.greatest(F.length("id") - 1, F.lit(1))), lambda i: (i < F.length("id")) & F.col("id").substr(i + 1, F.lit(1)).rlike(r"[^\p{L}\p{N}]"))
-    cut = ids.select("id", F.explode(F.transform(at, lambda i: F.col("id").substr(F.lit(1), i))).alias("base"))
-    common = cut.groupBy("base").count().filter(F.col("count") > hot).select("base").join(ids.select(F.col("id").alias("base")), "base", "left_anti")
-    return cut.join(F.broadcast(common), "base", "left_anti").join(ids.select(F.col("id").alias("base")), "base").select(F.col("id").alias("u"), F.col("base").alias("v"))
-
-
-def named_edges(pairs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Edges (u, v) from (id, other) rows whose ``other`` names an id, in any case; the exactly equal id first.
-
-    A name that is no id stays a node of its own, so that two rows naming it are still related.
-    """
-    p = pairs.select("id", "other").dropna().filter("other <> ''").distinct().withColumn("k", F.lower("other"))
-    known = ids.select(F.col("id").alias("named"), F.lower("id").alias("k"))
-    best = p.join(known, "k", "left").groupBy("id", "other").agg(F.min_by("named", F.struct(F.col("named") != F.col("other"), F.col("named"))).alias("named"))
-    return best.select(F.col("id").alias("u"), F.coalesce("named", "other").alias("v"))
-
-
-def deal_splits(groups: DataFrame, fractions: dict[str, float], seed: int = 42, per_bucket: int = 5_000) -> DataFrame:
-    """(root, split) for ``groups`` (root, size): whole groups dealt so that every size band meets the fractions.
-
-    Bands are powers of two of the size. Within a band groups stand in hash order and are dealt by a fixed step, so any
-    stretch of the order is divided as asked; large bands are dealt in hash buckets of about ``per_bucket`` groups.
-    """
-    if abs(sum(fractions.values()) - 1) > 1e-9:
-        raise ValueError("fractions must sum to 1")
-    from pyspark.sql import Window as W
-
-    h = F.xxhash64("root", F.lit(seed))
-    bands = groups.select("root", "size", h.alias("h"), F.floor(F.log2(F.greatest(F.col("size"), F.lit(1)))).cast("int").alias("band"))
-    n = bands.groupBy("band").agg(F.count("*").alias("n"))  # one row per power of two
-    x = bands.join(F.broadcast(n), "band").withColumn("bucket", F.pmod(F.shiftrightunsigned("h", 20), F.greatest((F.col("n") / per_bucket).cast("bigint"), F.lit(1))))
-    k = F.row_number().over(W.partitionBy("band", "bucket").orderBy("h", "root"))
-    # the golden step spreads any run of k evenly over [0, 1)
-    at = (F.pmod(F.xxhash64("band", "bucket", F.lit(seed)), F.lit(1000)) / 1000 + k * 0.6180339887498949) % 1
-    split, upto = None, 0.0
-    for name, share in fractions.items():
-        upto += share
-        split = F.when(at < upto, name) if split is None else split.when(at < upto, name)
-    return x.select("root", split.otherwise(list(fractions)[-1]).alias("split"))
-
-
-def related_conversations(spark: SparkSession, messages: DataFrame, threads: DataFrame, others: DataFrame | None = None) -> DataFrame:
-    """(conversation_id, root) for every conversation of the tables: same account, parent, or continuing id, along chains."""
-    from textloom.functions import text as T
-
-    cid = T.label(F.col("conversation_id"))
-    owned = messages.select(cid.alias("member"), T.account(F.col("account_id")).alias("key")).filter("member <> ''").distinct()
-    owned = materialize(owned, "owned")
-    ids = owned.select(F.col("member").alias("id")).unionByName(threads.select(cid.alias("id")))
-    if others is not None:
-        ids = ids.unionByName(others.select(cid.alias("id")))
-    ids = materialize(ids.filter("id <> ''").distinct(), "ids")
-    parents = threads.select(cid.alias("id"), T.label(F.col("parent_id")).alias("other")).filter("id <> ''")
-    edges = star_edges(owned).unionByName(named_edges(parents, ids)).unionByName(continuation_edges(ids))
-    members, _ = spanning_forest(edges)
-    return ids.join(members, ids["id"] == members["node"], "left").select(F.col("id").alias("conversation_id"), F.coalesce("root", "id").alias("root"))

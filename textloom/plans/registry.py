@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.plans import groups, oracle, reference
+from textloom.plans import oracle, reference
 
 FLAGSHIP = "component_split"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**reference.QUERIES, **groups.QUERIES}
-ORACLE: dict[str, str] = {**oracle.SQL, **groups.ORACLE}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = reference.QUERIES
+ORACLE: dict[str, str] = oracle.SQL
