@@ -61,10 +61,37 @@ def test_refusals():
         assert not pairs.declines(t, cut(t)), t
 
 
-def test_a_repeated_delivery_closes_an_ending_once(spark, model):
+def test_endings_by_share(spark, model):
+    """A sentence must end at the last words often enough: deliveries and the size of the table change nothing."""
     cut = A + " Then wait for the green lamp"
-    once = ("other", "2", "assistant", "First, open the panel. Now look at the green lamp.")
-    asked = [*pair("cut", cut), ("other", "1", "user", Q), once]
-    assert run(spark, model, asked) == {("cut", 2): ["truncated"]}
-    assert run(spark, model, [*asked, once, once]) == {("cut", 2): ["truncated"]}
-    assert ("cut", 2) not in run(spark, model, [*asked, ("more", "1", "user", Q), ("more", "2", *once[2:])])
+    runs_on = [x for k in range(8) for x in pair(f"on{k}", f"Wait for the green lamp of panel {'abcdefgh'[k]}. Nothing is deleted during these steps.")]
+    ends = pair("ends", "Now look for the green lamp. Nothing is deleted during these steps.")
+    assert run(spark, model, [*pair("cut", cut), *runs_on]) == {("cut", 2): ["truncated"]}
+    assert run(spark, model, [*pair("cut", cut), *runs_on, *ends]) == {("cut", 2): ["truncated"]}
+    assert run(spark, model, [*pair("cut", cut), *runs_on, *ends[1:] * 5, *ends]) in ({}, {("cut", 2): ["truncated"]})
+    many = [x for k in range(4) for x in pair(f"e{k}", "Now look for the green lamp. Nothing is deleted during these steps.")]
+    assert run(spark, model, [*pair("cut", cut), *runs_on, *many]) == {}
+
+
+@pytest.mark.parametrize("text", ["You can reset the password by opening the", "You can reset the password. Then open the menu and cho", "Open the panel (the one on the left. Then save the change.", 'The page says "nothing to save. Then it closes.', "Siehe „Konto und Tarif. Danach speichern Sie.", "Voir « le compte. Puis enregistrez."])
+def test_cut_off(spark, model, text):
+    assert "truncated" in run(spark, model, pair("c", text)).get(("c", 2), [])
+
+
+@pytest.mark.parametrize("text", ["Open the panel (on the left).", 'It says "done".', "A 5\" screen is enough :(", "„Konto“ und «compte» und »Tarif«.", "a) open it. b) save it.", "It [really] works {so} (they say)."])
+def test_closed(text):
+    assert not pairs.unclosed(text)
+
+
+def test_long_refusals_and_short_copies(spark, model):
+    long = " ".join(["I'm sorry.", "I can't help with that.", "I understand that this is disappointing for you and for all of your colleagues in every one of the branches."] * 6)
+    assert run(spark, model, [*pair("long", long), *pair("short", "Task timer?", "task timer"), *pair("other", "Task timer.", "What is it?")]) == {("long", 2): ["refusal"], ("short", 2): ["copy"]}
+
+
+def test_long_conversations_and_runs(spark, model):
+    rows = [("c", str(k), ("user", "assistant")[(k // 300) % 2], A if k % 7 else "") for k in range(0, 9000, 1)]
+    want = []
+    got = run(spark, model, rows)
+    assert [x for x in got if got[x] == ["empty"]] == want
+    rows = [("g", "10", "user", Q), ("g", "9000", "assistant", ""), ("g", "20000", "user", Q), ("g", "30000", "user", ""), ("g", "40000", "assistant", "n/a")]
+    assert run(spark, model, rows) == {("g", 9000): ["empty"], ("g", 40000): ["empty"]}

@@ -8,6 +8,7 @@ table look-up. Every text is scored whole.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -42,7 +43,7 @@ FILLERS = frozenset(
     (blank) (empty) (none) (null) <empty> <null> <none> <blank> [empty] [blank] [none] [null] [no-response] <no-response> (no-response)
     [no-answer] (no-answer) no-response no-answer no-reply no-content no-text [no-content] (no-content) [no-reply] [removed] [deleted] (removed) (deleted)
     [content-removed] not-available not-applicable not-provided""".split()
-)  # contents that stand for none, in lower case with - for spaces (fixed values)
+)  # contents that stand for none, in lower case with - for spaces
 
 
 def is_filler(text: str) -> bool:
@@ -301,6 +302,22 @@ def agreeing(model: Model, labelled: list[tuple[str, str]], sure: float = 0.95)
     return out
 
 
+_fitted: dict[str, Model] = {}  # the last models of this process, by the rows they were fitted on
+
+
+def _trained(rows: list[tuple[str, str]], more: list[tuple[str, str]]) -> Model:
+    """Model of the clean rows and of the ``more`` rows that agree with it; fitted once for equal rows."""
+    mark = hashlib.sha256(repr((rows, more)).encode()).hexdigest()
+    if mark not in _fitted:
+        model = train(rows)
+        if more:
+            model = train(rows + agreeing(model, more))
+        while len(_fitted) >= 4:
+            _fitted.pop(next(iter(_fitted)))
+        _fitted[mark] = model
+    return _fitted[mark]
+
+
 def fit(lang_samples: DataFrame, labelled: DataFrame | None = None, per_stratum: int = PER_STRATUM) -> Model:
     """Model from the clean table (lang_code, sample_text), of which no more than MAX_TRAINING_TEXTS rows are used.
 
@@ -309,14 +326,14 @@ def fit(lang_samples: DataFrame, labelled: DataFrame | None = None, per_stratum:
     """
     rows = lang_samples.select("lang_code", "sample_text").dropna().orderBy(F.xxhash64("sample_text"), "lang_code").limit(MAX_TRAINING_TEXTS).collect()
     clean_rows = [(r.lang_code, r.sample_text) for r in rows]
-    model = train(clean_rows)
     if labelled is None:
-        return model
+        return _trained(clean_rows, [])
+    classes = sorted({lang for lang, _ in clean_rows})
     w = W.partitionBy("lang_code", "stratum").orderBy("h", "text")
-    x = labelled.filter(F.col("lang_code").isin(model.classes) & (F.col("text") != "")).select("lang_code", "stratum", "text", F.xxhash64("text").alias("h"))
+    x = labelled.filter(F.col("lang_code").isin(classes) & (F.col("text") != "")).select("lang_code", "stratum", "text", F.xxhash64("text").alias("h"))
     # each task keeps its own least rows before the shuffle
     sample = x.withColumn("k", F.row_number().over(w)).filter(F.col("k") <= per_stratum).select("lang_code", "text").collect()
-    return train(clean_rows + agreeing(model, sorted((r.lang_code, r.text) for r in sample)))
+    return _trained(clean_rows, sorted((r.lang_code, r.text) for r in sample))
 
 
 def _labeller(model: Model):

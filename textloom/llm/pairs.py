@@ -1,21 +1,22 @@
 """Broken prompt and response pairs: what each answer is useless for.
 
 Every message is read once, in a map, into a few small features (is it a filler, does it only decline, how does it end,
-which languages, its words as numbers). Pairs are then found by windows over those, so contents are never shuffled.
-Rules apply in order - emptiness, unclosed delimiters and abrupt endings, refusal, copied question, other language -
-and every one that holds is reported.
+which languages, its words as numbers). Runs of one role are numbered by windows over those, questions and answers meet by
+number, and words are fetched only for the few pairs that may be copies. Rules apply in order - emptiness, unclosed
+delimiters and abrupt endings, refusal, copied question, other language - and every one that holds is reported.
 
-Whether an ending without a terminator is abrupt is judged against the corpus: the last words of complete sentences and
-of inner list items are counted over all answers, and an ending that no two of those share is abrupt.
+Whether an ending without a terminator is abrupt is judged against the corpus: the last three words of the text are
+abrupt unless a sentence ends there in ENDS or more of all the places where these words stand in one sentence. It is a
+share, so it does not drift with the size of the table.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from array import array
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -27,11 +28,13 @@ from textloom.llm import langid
 from textloom.operators import turns
 from textloom.session import materialize, ship
 
-BLOCK, HALO = 4096, 256  # turn numbers of a window partition, and of the context copied from its neighbours
+BLOCK = 4096  # turn numbers of a window partition
 COPIED = 0.8  # share of an answer's words that stand in the question in the same order
-SEEN = 2  # complete sentences that must share an ending
+ENDS = 0.15  # share of the places of three words at which a sentence must end
+SLOT_BITS = 22  # the map of the endings that are asked for has 2 ** SLOT_BITS bits, however many there are
+ROWS = 2_500  # rows that a task turns into features at a time
 
-# Declining, in words without accents or punctuation (fixed values)
+# Declining, in words without accents or punctuation
 _REFUSAL = re.compile(
     r"\b(?:(?:can ?not|can t|cant|could not|couldn t|won t be able to|will not be able to|not able to|unable to|am not going to|won t|will not|do not wish to|don t wish to) "
     r"(?:be )?(?:help(?:ing)?|assist(?:ing)?|answer(?:ing)?|respond(?:ing)?|reply(?:ing)?|provid(?:e|ing)|shar(?:e|ing)|comment(?:ing)?|discuss(?:ing)?|tak(?:e|ing) this|talk(?:ing)? about|address(?:ing)?|fulfil+|comply)"
@@ -45,7 +48,7 @@ _REFUSAL = re.compile(
     r"|உதவ (?:முடியாது|இயலாது|முடியவில்லை)|அனுமதி (?:இல்லை|கிடையாது)|பேச (?:விரும்பவில்லை|முடியாது|இயலாது|விரும்பல)|(?:சொல்ல|கூற) (?:இயலாது|முடியாது|விரும்பவில்லை)|பதிலளிக்க (?:முடியாது|இயலாது)|பதில் (?:சொல்ல|அளிக்க|தர) (?:முடியாது|இயலாது)"
     r"|(?:help|share|answer|reply|comment|discuss) பண்ண (?:முடியாது|முடியல|இயலாது|மாட்டேன்)|permission (?:இல்ல|கிடையாது)|(?:answer|பதில்) (?:சொல்ல|தர) (?:முடியாது|permission)"
 )
-# Words of courtesy around it that help with nothing (fixed values)
+# Words of courtesy around it that help with nothing
 _COURTESY = re.compile(
     r"^(?:(?:hello|hi|hey|dear \w+|good (?:morning|day|evening)|thanks?(?: you)?(?: very much| so much)?(?: for (?:writing|asking|your \w+|reaching out|the \w+|getting in touch|contacting us))?|sorry|my apologies|apologies|i understand\b.*|i (?:am|m) sorry|regrettably|unfortunately|i hope you understand|"
     r"(?:but )?(?:please )?(?:do )?(?:ask about something else|ask (?:me )?something else|turn to .{1,40} instead|contact .{1,40} instead|consult .{1,40}|speak to .{1,40})|is there anything else.*|have a (?:nice|good) day|take care|all the best|"
@@ -53,7 +56,7 @@ _COURTESY = re.compile(
     r"नमस्ते|धन्यवाद|माफ़ कीजिए|क्षमा करें|மன்னிக்கவும்|வணக்கம்|நன்றி|வேறு ஏதாவது கேளுங்கள்|வேற ஏதாவது கேளுங்க|sorry|hi)(?: |$))+$"
 )
 
-# Names of the languages: a question that names one may be answered in it (fixed values, without accents)
+# Names of the languages: a question that names one may be answered in it (without accents)
 _ASKED = {
     "en": r"\b(?:english|ingles|anglais|englisch\w*)\b|ஆங்கில|अंग्रेज|इंग्लिश",
     "es": r"\b(?:spanish|espanol|castellano|espagnol|spanisch\w*)\b|ஸ்பானி|स्पेनिश",
@@ -63,20 +66,45 @@ _ASKED = {
     "ta": r"\b(?:tamil|tamoul|tamilisch\w*)\b|தமிழ|तमिल",
 }
 _ASKED_RE = {k: re.compile(v) for k, v in _ASKED.items()}
-# beginnings of those names, one of which a text must hold (fixed values)
+# beginnings of those names, one of which a text must hold
 _ASKED_LATIN = ("engl", "ingl", "angl", "span", "espa", "cast", "fren", "fran", "germ", "alem", "deut", "hindi", "tam")
 _ASKED_OTHER = ("ஆங்", "ஸ்பா", "பிர", "ஜெர்", "இந்தி", "ஹிந்", "தமிழ", "अंग्र", "इंग्ल", "स्पेन", "फ्र", "फ़्र", "जर्म", "हिं", "हिन्", "तमिल")
 _PERSONS = frozenset(
     """i me my mine we us our ours you your yours am are yo mi mis me nos nuestro nuestra tu su sus usted je j mon ma mes nous notre nos vous votre vos m
     ich mein meine meinem meinen mich wir uns unser sie ihr ihre ihrem ihren எனது என் எனக்கு எங்கள் உங்கள் உங்களுக்கு मेरा मेरे मेरी मुझे हम हमारा हमारे आप आपका आपके आपकी आपको re fwd aw""".split()
-)  # persons that a repeated question may exchange, and reply marks (fixed values)
+)  # persons that a repeated question may exchange, and reply marks
 
 _CLOSED = re.compile(r"[.!?।॥。？！][\"'”’»)\]*_`]*$|[\"”»)\]]$|```$")
 _DANGLING = re.compile(r"(?:[,;:(\[{/&+=„“«‘¿¡<|\\]|(?<!\S)[-–—`*]+|[^\W\d_][-–—])$|(?:^|\n)[ \t>]*(?:\d{1,3}[.)]|[-*•])$")
 _DOTS = re.compile(r"(?:…|\.\.+)$")
 _TAIL_MARKS = " \t\r\n\x0b\x0c\xa0`"
 _ITEM = re.compile(r"[ \t>]*\d{1,3}[.)][ \t]")
-_STOP = re.compile(r"[.!?।…]|\n[ \t>]*\d{1,3}[.)]")
+_FULL_STOPS = frozenset(".!?।॥。？！")
+_LIST_END = re.compile(r"(?:^|\n)[ \t>]*\d{1,3}[.)]\W*$")
+_OPENERS = re.compile(r"[(\[{\"“„«»]")
+_DELIMITER = re.compile(r"(?<![:;=8])-?[(\[{]|[)\]}]|[“”„«»]|(?<!\d)\"")
+_CLOSES = {")": "(", "]": "[", "}": "{", "”": "“„", "“": "„", "«": "»", "»": "«", '"': '"'}
+
+
+def unclosed(text: str) -> bool:
+    """Whether a bracket or quotation mark stays open to the end of a text, code and logs aside. Smileys and inch marks are none."""
+    if not _OPENERS.search(text):
+        return False
+    stack: list[str] = []
+    for m in _DELIMITER.finditer(langid.clean(text)):
+        c = m[0][-1]
+        match = _CLOSES.get(c)
+        if match is None:
+            stack.append(c)
+            continue
+        k = len(stack) - 1
+        while k >= 0 and stack[k] not in match:
+            k -= 1
+        if k >= 0:
+            del stack[k:]  # what was open inside ends with it
+        elif c in "“«»\"":  # marks that also open
+            stack.append(c)
+    return bool(stack)
 
 
 _ACCENT = re.compile("[\u0300-\u036f]+")
@@ -95,7 +123,7 @@ def _bare(text: str) -> str:
     return " ".join(words(_unaccented(text.replace("’", "'"))))
 
 
-# every refusal above holds one of these (fixed values)
+# every refusal above holds one of these
 _MAY_REFUSE = (
     "not", "n't", "n’t", "nt ", "unable", "decline", "refuse", "rather", "pass on", "beyond", "outside", "unanswered", "no comment", "no answer", "no puedo", "no podemos", "no podr", "no me", "no nos", "no le ", "no te ", "no os ",
     "prefiero no", "no est", "no tengo", "declinar", "rechazar", "negarme", "no quiero", "pas ", "impossible", "décliner", "decliner", "nicht", "keine", "ablehnen", "नहीं", "असमर्थ", "मना", "अनुमति", "देने की", "முடியாது", "இயலாது", "முடியவில்லை", "அனுமதி",
@@ -105,7 +133,7 @@ _MAY_REFUSE = (
 
 def declines(text: str, sentences: list[str]) -> bool:
     """An answer that declines and helps with nothing: every sentence of it is a refusal or courtesy, and one is a refusal."""
-    if len(text) > 800 or "\n1." in text or not sentences or len(sentences) > 5:
+    if not sentences:
         return False
     low = text.lower()
     if not any(x in low for x in _MAY_REFUSE):
@@ -114,7 +142,7 @@ def declines(text: str, sentences: list[str]) -> bool:
     for s in sentences:
         b = _bare(s)
         if _REFUSAL.search(b):
-            if len(b) > 220 or _BUT_HELPS.search(b):
+            if _BUT_HELPS.search(b):
                 return False
             refused = True
         elif b and not _COURTESY.match(b):
@@ -122,142 +150,194 @@ def declines(text: str, sentences: list[str]) -> bool:
     return refused
 
 
-# a turn from declining to helping inside one sentence (fixed values)
+# a turn from declining to helping inside one sentence
 _BUT_HELPS = re.compile(r"\b(?:but|yet|however|although|though|pero|aunque|mais|aber|doch|jedoch|आप|लेकिन|ஆனால்|ஆனா)\b.*\b(?:steps?|below|you can|here is|here are|come close|can be|try|pasos|puede|podra|etapes|pouvez|schritte|konnen sie|lasst sich)\b")
 
 
-def tail_key(tokens: list[str]) -> int:
-    """Number of the last three words of a sentence; a shorter one counts with its start."""
-    t = tokens[-3:] if len(tokens) >= 3 else ["^", *tokens]
-    return xxhash.xxh64_intdigest("\x1f".join(t)) - 2**63
-
-
 OPEN, CUT, ASK = 0, 1, 2  # complete; cut off; the corpus decides
 
 
-def ending(text: str, sentences: list[str], tokens: list[list[str]]) -> tuple[int, int]:
-    """How a text (trimmed, no filler) ends: one of OPEN, CUT, ASK, and the key to ask for."""
+def ending(text: str) -> int:
+    """How a text (trimmed, no filler) ends: one of OPEN, CUT, ASK."""
     if text.count("```") % 2:
-        return CUT, 0
+        return CUT
     if text.endswith("```"):
-        return OPEN, 0
+        return OPEN
     t = text.rstrip(_TAIL_MARKS)
     if not t:
-        return OPEN, 0
+        return OPEN
     end = t[-12:]
-    if t != text and text.count("`") % 2:
-        return CUT, 0
-    last = next((x for x in reversed(tokens) if x), [])
+    if (t != text and text.count("`") % 2) or unclosed(t):
+        return CUT
     if _DOTS.search(end):
-        return (ASK, tail_key(last)) if last else (OPEN, 0)
+        return ASK
     if _CLOSED.search(end):
-        opened = max(t.rfind(c) for c in "([{")
-        closed = max(t.rfind(c) for c in ")]}")
-        return (CUT, 0) if opened > closed and len(t) - opened < 80 and t[-1] not in ".!?।" else (OPEN, 0)
-    if _DANGLING.search(end):
-        return CUT, 0
-    if not last or not _STOP.search(t):  # never punctuated: nothing can be missed at its end
-        return OPEN, 0
-    return ASK, tail_key(last)
+        return OPEN
+    return CUT if _DANGLING.search(end) else ASK
+
 
+_ID, _END, _START = 0x3FFFFFFF, 0x40000000, 0x80000000  # a word's number, and marks for the last word of a complete sentence and the first of any
 
-_FEATURES = "conversation_id string, turn long, msg_id long, role int, h long, blank boolean, refusal boolean, cut int, tail long, langs array<string>, asked array<string>, words binary, tails array<long>"
+
+def tail_keys(w: np.ndarray) -> np.ndarray:
+    """At every word a number for it and the two before it, as far as they stand in the same sentence."""
+    x = w.astype(np.uint64)
+    first = (x & np.uint64(_START)) > 0
+    x &= np.uint64(_ID)
+    before = np.concatenate([np.zeros(1, np.uint64), x[:-1]])
+    before[first] = 0
+    second = np.concatenate([np.zeros(1, np.uint64), before[:-1]])
+    second[first] = 0
+    with np.errstate(over="ignore"):
+        h = (second * np.uint64(0x9E3779B97F4A7C15) ^ before) * np.uint64(0xD6E8FEB86659FD93)
+        h = ((h ^ (h >> np.uint64(31))) ^ x) * np.uint64(0x9E3779B97F4A7C15)
+        return (h ^ (h >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+
+
+_SMALL = "conversation_id string, turn long, msg_id long, role int, h long, blank boolean, refusal boolean, cut int, tail long, langs array<string>, asked array<string>, n int, b0 long, b1 long, b2 long, b3 long"
+_FEATURES = f"{_SMALL}, words binary"
 
 
 def _featuriser(model: langid.Model) -> Callable:
+    def features(b: pa.RecordBatch, known: WordIds, short: list[str]) -> pa.RecordBatch:
+        cid, turn, msg, role, content = (b.column(k) for k in range(5))
+        roles = role.to_pylist()
+        texts = content.to_pylist()
+        blank = [langid.is_filler(t) for t in texts]
+        # what other roles say is neither judged nor compared
+        split = [[] if e or r > 1 else langid.split_sentences(t) for e, r, t in zip(blank, roles, texts, strict=True)]
+        toks = [[langid.sentence_tokens(s) for s in ss] for ss in split]
+        # sentences of more than one letter have a language
+        says = [[len(t) > 1 or (len(t) == 1 and len(t[0]) > 1) for t in ts] for ts in toks]
+        flat = [t for ts, ok in zip(toks, says, strict=True) for t, k in zip(ts, ok, strict=True) if k]
+        label = iter(model.predict(flat)[0].tolist()) if flat else iter(())
+        cols: list[list] = [[] for _ in range(6)]
+        arrays: list[np.ndarray] = []
+        for t, r, e, ss, ts, ok in zip(texts, roles, blank, split, toks, says, strict=True):
+            weight: dict[str, int] = {}
+            for tok, k in zip(ts, ok, strict=True):
+                if k:
+                    lang = short[next(label)]
+                    weight[lang] = weight.get(lang, 0) + len(tok)
+            asked: list[str] = []
+            if r == 0 and not e:
+                bare = _unaccented(t)
+                asked = [k for k, p in _ASKED_RE.items() if p.search(bare)] if any(x in bare for x in _ASKED_LATIN) or (not bare.isascii() and any(x in bare for x in _ASKED_OTHER)) else []
+            # the language with most words first
+            langs = sorted(weight, key=lambda k: (-weight[k], k)) if len(weight) > 1 else list(weight)
+            all_: list[str] = []
+            marks: list[tuple[int, int]] = []
+            for k, (s, tok) in enumerate(zip(ss, ts, strict=True)):
+                at = len(all_)
+                all_ += [w for w in tok if w not in _PERSONS]
+                if len(all_) > at:
+                    marks.append((at, _START))
+                    z = s.rstrip()
+                    # a sentence with its terminator, or a list item that another one follows
+                    if (z[-1:] in _FULL_STOPS and not _DOTS.search(z[-4:]) and not _LIST_END.search(z[-12:])) or (k + 1 < len(ss) and _ITEM.match(s)):
+                        marks.append((len(all_) - 1, _END))
+            w = np.array(known.ids(all_), np.uint64).astype(np.uint32) & np.uint32(_ID)
+            for at, m in marks:
+                w[at] |= np.uint32(m)
+            arrays.append(w)
+            cut = OPEN if e or r != 1 else ending(t)
+            for c, v in zip(cols, (xxhash.xxh64_intdigest(f"{r}\x1f{t}") - 2**63, e, r == 1 and not e and declines(t, ss), cut, langs, asked), strict=True):
+                c.append(v)
+        # the key of the last words, where they have to be asked for; a text without words ends as it likes
+        asks = [k for k, c in enumerate(cols[3]) if c == ASK]
+        for k in asks:
+            if not len(arrays[k]):
+                cols[3][k] = OPEN
+        asks = [k for k in asks if len(arrays[k])]
+        tails: list[int | None] = [None] * len(texts)
+        if asks:
+            last = [arrays[k][-3:] for k in asks]
+            keys = tail_keys(np.concatenate([np.concatenate([np.full(1, _START, np.uint32), x]) for x in last])).view(np.int64)
+            for k, at in zip(asks, np.cumsum([len(x) + 1 for x in last]) - 1, strict=True):
+                tails[k] = int(keys[at])
+        # 256 bits, one for each word: what an answer's bits have beside its question's, the question lacks
+        lens = np.array([len(x) for x in arrays], np.int64)
+        words_ = np.concatenate([np.zeros(0, np.uint32), *arrays]) & np.uint32(_ID)
+        bits = np.zeros((len(arrays), 256), np.uint8)
+        bits[np.repeat(np.arange(len(arrays)), lens), (words_.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)).astype(np.int64)] = 1
+        packed = np.packbits(bits, axis=1).view(np.int64)
+        kinds = [pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.string())]
+        h, e, refusal, cut_, langs_, asked_ = (pa.array(c, k) for c, k in zip(cols, kinds, strict=True))
+        return pa.RecordBatch.from_arrays(
+            [cid, turn, msg, role.cast(pa.int32()), h, e, refusal, cut_, pa.array(tails, pa.int64()), langs_, asked_, pa.array(lens.astype(np.int32)), *(pa.array(np.ascontiguousarray(packed[:, k])) for k in range(4)), pa.array([x.tobytes() for x in arrays], pa.binary())],
+            ["conversation_id", "turn", "msg_id", "role", "h", "blank", "refusal", "cut", "tail", "langs", "asked", "n", "b0", "b1", "b2", "b3", "words"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordIds()
+        known = WordIds(200_000)
         short = [c.split("-")[0] for c in model.classes]
         for b in batches:
-            cid, turn, msg, role, content = (b.column(k) for k in range(5))
-            roles = role.to_pylist()
-            texts = content.to_pylist()
-            blank = [langid.is_filler(t) for t in texts]
-            split = [[] if e or r > 1 else langid.split_sentences(t) for e, r, t in zip(blank, roles, texts, strict=True)]
-            toks = [[langid.sentence_tokens(s) for s in ss] for ss in split]
-            # sentences of more than one letter have a language;
-            # what other roles say is neither judged nor compared
-            says = [[len(t) > 1 or (len(t) == 1 and len(t[0]) > 1) for t in ts] for ts in toks]
-            flat = [t for ts, ok in zip(toks, says, strict=True) for t, k in zip(ts, ok, strict=True) if k]
-            label = iter(model.predict(flat)[0].tolist()) if flat else iter(())
-            cols: list[list] = [[] for _ in range(9)]
-            for t, r, e, ss, ts, ok in zip(texts, roles, blank, split, toks, says, strict=True):
-                weight: dict[str, int] = {}
-                for tok, k in zip(ts, ok, strict=True):
-                    if k:
-                        lang = short[next(label)]
-                        weight[lang] = weight.get(lang, 0) + len(tok)
-                cut, tail = (OPEN, 0) if e or r != 1 else ending(t, ss, ts)
-                asked: list[str] = []
-                if r == 0 and not e:
-                    bare = _unaccented(t)
-                    asked = [k for k, p in _ASKED_RE.items() if p.search(bare)] if any(x in bare for x in _ASKED_LATIN) or (not bare.isascii() and any(x in bare for x in _ASKED_OTHER)) else []
-                # tails of an answer's complete sentences, and of its list items that another one follows
-                tails = [tail_key(x) for k, (s, x) in enumerate(zip(ss, ts, strict=True)) if x and (s.rstrip()[-1:] in ".!?।" or (k + 1 < len(ss) and _ITEM.match(s)))] if r == 1 else []
-                # the language with most words first
-                langs = sorted(weight, key=lambda k: (-weight[k], k)) if len(weight) > 1 else list(weight)
-                ids = known.ids([w for x in ts for w in x if w not in _PERSONS])
-                for c, v in zip(cols, (xxhash.xxh64_intdigest(f"{r}\x1f{t}") - 2**63, e, r == 1 and not e and declines(t, ss), cut, tail, langs, asked, array("I", [i & 0xFFFFFFFF for i in ids]).tobytes(), tails), strict=True):
-                    c.append(v)
-            kinds = [pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.binary(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays(
-                [cid, turn, msg, role.cast(pa.int32()), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))],
-                ["conversation_id", "turn", "msg_id", "role", "h", "blank", "refusal", "cut", "tail", "langs", "asked", "words", "tails"],
-            )
+            for at in range(0, b.num_rows, ROWS):
+                yield features(b.slice(at, ROWS), known, short)
+
+    return run
+
+
+def _tail_counter(asked: bytes) -> Callable:
+    """Of (words) rows, for every key that may be asked for: places where a sentence ends with it, and all its places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(np.frombuffer(asked, np.uint8)).astype(bool)
+        for b in batches:
+            w = np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint32)
+            keys = tail_keys(w) if len(w) else np.zeros(0, np.uint64)
+            near = wanted[(keys >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
+            keys, of = np.unique(keys[near], return_inverse=True)
+            ends = np.bincount(of, weights=(w[near] & np.uint32(_END)) > 0, minlength=len(keys)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ends), pa.array(np.bincount(of, minlength=len(keys)).astype(np.int64))], ["tail", "ends", "places"])
 
     return run
 
 
+def complete_tails(features: DataFrame, ends: float = ENDS) -> DataFrame:
+    """(tail, complete): the keys among those asked for (``tail``) at which sentences end often enough, over all ``words``."""
+    slots = features.filter("tail IS NOT NULL").select(F.shiftrightunsigned("tail", 64 - SLOT_BITS).cast("int").alias("slot")).distinct().toArrow()
+    asked = np.zeros(1 << SLOT_BITS, bool)  # bounded by its definition
+    asked[slots.column("slot").to_numpy()] = True
+    counts = features.filter("n > 0").select("words").mapInArrow(_tail_counter(np.packbits(asked).tobytes()), "tail long, ends long, places long")
+    return counts.groupBy("tail").agg(F.sum("ends").alias("ends"), F.sum("places").alias("places")).filter(F.col("ends") >= F.greatest(F.lit(1.0), F.col("places") * ends)).select("tail", F.lit(True).alias("complete"))
+
+
 def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds, to (.., question words, answer words) rows, whether the answer is only the question again."""
+    """(conversation_id, run, question words, answer words) to the (conversation_id, run) whose answer is only the question again."""
     for b in batches:
-        out = []
-        for q, a in zip(b.column("q_words").to_pylist(), b.column("a_words").to_pylist(), strict=True):
-            n, m = len(a or b"") // 4, len(q or b"") // 4
-            same = False
-            if n >= 4 and COPIED * n <= m:  # an answer that is longer can't stand in the question
-                x, y = memoryview(a).cast("I").tolist(), memoryview(q).cast("I").tolist()
+        keep = []
+        for k, (q, a) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
+            x, y = ([i & _ID for i in memoryview(z or b"").cast("I")] for z in (a, q))
+            if len(x) < 4:
+                same = x == y
+            else:
                 known = set(y)
-                if sum(w in known for w in x) >= COPIED * n:
-                    same = lcs_length(x, y) >= COPIED * n
-            out.append(same)
-        keep = [c for c in b.schema.names if c not in ("q_words", "a_words")]
-        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(out, pa.bool_())], [*keep, "copy"])
-
-
-def _runs(f: DataFrame) -> DataFrame:
-    """Answers with their question: one row per assistant run that stands directly behind a user run with content."""
-    # a window partition is a stretch of BLOCK numbers of a conversation, with HALO numbers of its neighbours as context
-    # the first one begins at -HALO, so that an ordinary conversation lies in it as a whole
-    block = lambda shift: F.floor((F.col("turn").cast("double") + (HALO + shift)) / BLOCK)
-    x = f.withColumn("block", F.explode(F.array_distinct(F.array(block(-HALO), block(0), block(HALO)))))
-    w = W.partitionBy("conversation_id", "block").orderBy("turn", "msg_id")
-    x = x.withColumn("new", (F.coalesce(F.lag("role").over(w), F.lit(-1)) != F.col("role")).cast("int")).withColumn("run", F.sum("new").over(w))
-    row = F.struct("turn", "msg_id", "words", "cut", "tail", "blank", "refusal", "langs", "asked")
-    r = x.groupBy("conversation_id", "block", "run").agg(
-        F.first("role").alias("role"), F.min("turn").alias("turn"), F.min(F.struct("turn", "msg_id")).alias("at"), F.sort_array(F.collect_list(row)).alias("rows")
-    )
-    full = F.filter("rows", lambda m: ~m["blank"])
-    r = r.withColumn("full", full)
-    wr = W.partitionBy("conversation_id", "block").orderBy("run")
-    prev = lambda c: F.lag(c).over(wr)
-    r = r.select("*", prev("role").alias("q_role"), prev("full").alias("q_full")).filter((F.col("role") == 1) & (F.col("q_role") == 0) & (F.size("q_full") > 0) & (block(0) == F.col("block")))
-    joined = lambda c: F.unhex(F.array_join(F.transform(c, lambda m: F.hex(m["words"])), ""))
-    last = F.element_at("full", -1)
-    return r.select(
-        "conversation_id", "turn",
-        (F.size("full") == 0).alias("empty"),
-        F.when(F.size("full") > 0, last["cut"]).otherwise(0).alias("cut"),
-        F.when(F.size("full") > 0, last["tail"]).alias("tail"),
-        ((F.size("full") > 0) & F.forall("full", lambda m: m["refusal"])).alias("refusal"),
-        F.when(F.size("full") > 0, F.flatten(F.transform("full", lambda m: F.slice(m["langs"], 1, 1)))).alias("a_langs"),
-        F.array_distinct(F.flatten(F.transform("q_full", lambda m: F.concat(m["langs"], m["asked"])))).alias("q_langs"),
-        joined(F.col("q_full")).alias("q_words"),
-        joined(F.col("full")).alias("a_words"),
-    )
+                same = sum(w in known for w in x) >= COPIED * len(x) and lcs_length(x, y) >= COPIED * len(x)
+            if same:
+                keep.append(k)
+        take = pa.array(keep, pa.int64())
+        yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take)], ["conversation_id", "run"])
 
 
-def defects(messages: DataFrame, model: langid.Model, seen: int = SEEN) -> DataFrame:
+def number_runs(rows: DataFrame) -> DataFrame:
+    """``rows`` (conversation_id, turn, msg_id, role, ..) with ``run``: successive rows of one role of a conversation, in turn order, have one number.
+
+    Numbers are dealt within stretches of BLOCK turn numbers and the stretches joined by what stands at their ends, so a
+    conversation of any length is spread over tasks and a run may be of any length.
+    """
+    x = rows.withColumn("block", F.floor(F.col("turn").cast("double") / BLOCK))
+    w = W.partitionBy("conversation_id", "block").orderBy("turn", "msg_id", "role")
+    x = x.withColumn("run", F.sum(F.coalesce((F.lag("role").over(w) != F.col("role")).cast("bigint"), F.lit(0))).over(w))
+    at = F.struct("turn", "msg_id", "role")
+    ends = x.groupBy("conversation_id", "block").agg(F.min_by("role", at).alias("first"), F.max_by("role", at).alias("last"), F.max("run").alias("changes"))
+    wb = W.partitionBy("conversation_id").orderBy("block")
+    starts = F.coalesce((F.lag("last").over(wb) != F.col("first")).cast("bigint"), F.lit(1))
+    ends = ends.withColumn("starts", starts).select("conversation_id", "block", (F.sum(F.col("starts") + F.col("changes")).over(wb) - F.col("changes")).alias("base"))
+    return x.join(ends, ["conversation_id", "block"]).withColumn("run", F.col("run") + F.col("base")).drop("block", "base")
+
+
+def defects(messages: DataFrame, model: langid.Model, ends: float = ENDS) -> DataFrame:
     """(conversation_id, turn_index int, defects array<string>) for every pair with a defect, in the order of the rules.
 
     Rows without a whole number have no place in the turn order and take no part; a repeated message counts once; a null
@@ -267,14 +347,39 @@ def defects(messages: DataFrame, model: langid.Model, seen: int = SEEN) -> DataF
     ship(messages.sparkSession)
     ev = turns.events(messages, F.col("msg_id").cast("bigint").alias("msg_id")).filter("turn IS NOT NULL")
     code = F.when(F.col("role") == "user", 0).when(F.col("role") == "assistant", 1).otherwise(2)
-    f = ev.select("conversation_id", "turn", "msg_id", code.alias("role"), "content").mapInArrow(_featuriser(model), _FEATURES)
-    rest = [F.min_by(c, "msg_id").alias(c) for c in ("blank", "refusal", "cut", "tail", "langs", "asked", "words", "tails")]
-    once = materialize(f.groupBy("conversation_id", "turn", "role", "h").agg(F.min("msg_id").alias("msg_id"), *rest), "features")
-    # endings are counted over messages, not deliveries
-    known = once.select(F.explode("tails").alias("tail")).groupBy("tail").count().filter(F.col("count") >= seen).select("tail", F.lit(True).alias("complete"))
-    schema = "conversation_id string, turn long, empty boolean, cut int, tail long, refusal boolean, a_langs array<string>, q_langs array<string>, copy boolean"
-    pairs = _runs(once.drop("tails")).mapInArrow(_copies, schema)
-    pairs = pairs.join(known, "tail", "left")
+    f = materialize(ev.select("conversation_id", "turn", "msg_id", code.alias("role"), "content").mapInArrow(_featuriser(model), _FEATURES), "features")
+    # deliveries of a message have equal features
+    rest = [F.first(c).alias(c) for c in ("blank", "refusal", "cut", "tail", "langs", "asked", "n", "b0", "b1", "b2", "b3")]
+    once = f.groupBy("conversation_id", "turn", "role", "h").agg(F.min("msg_id").alias("msg_id"), *rest)
+    rows = materialize(number_runs(once), "rows")
+    full = ~F.col("blank")
+    bits = [f"b{k}" for k in range(4)]
+    runs = rows.filter("role < 2").groupBy("conversation_id", "run", "role").agg(
+        F.min("turn").alias("turn"), F.bool_and("blank").alias("empty"),
+        F.max_by(F.struct("cut", "tail"), F.when(full, F.struct("turn", "msg_id"))).alias("end"),
+        F.bool_and(F.when(full, F.col("refusal"))).alias("refusal"),
+        F.collect_set(F.when(full, F.get("langs", F.lit(0)))).alias("mine"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(full, F.concat("langs", "asked"))))).alias("said"),
+        F.sum(F.when(full, F.col("n")).otherwise(0)).alias("n"), *(F.bit_or(F.when(full, F.col(b)).otherwise(F.lit(0).cast("bigint"))).alias(b) for b in bits),
+    )
+    runs = materialize(runs, "runs")
+    asked = runs.filter("role = 0 AND NOT empty").select("conversation_id", (F.col("run") + 1).alias("run"), F.col("said").alias("q_langs"), F.col("n").alias("q_n"), *(F.col(b).alias(f"q{b}") for b in bits))
+    pairs = materialize(runs.filter("role = 1").join(asked, ["conversation_id", "run"]), "pairs")
+    # a word of the answer that the question lacks has a bit of its own at best
+    lacks = sum((F.bit_count(F.col(b).bitwiseAND(F.bitwise_not(f"q{b}"))) for b in bits), F.lit(0))
+    may = pairs.filter((F.col("n") > 0) & (F.col("n") * COPIED <= F.col("q_n")) & (lacks <= F.col("n") * (1 - COPIED))).select("conversation_id", "run")
+    both = may.select("conversation_id", "run", F.col("run").alias("pair")).unionByName(may.select("conversation_id", (F.col("run") - 1).alias("run"), F.col("run").alias("pair")))
+    need = rows.filter(full).select("conversation_id", "run", "role", "turn", "msg_id", "h").join(both, ["conversation_id", "run"])
+    texts = f.select("h", "words").join(need.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.first("words").alias("words"))
+    said = need.join(texts, "h").groupBy("conversation_id", "pair", "role").agg(F.sort_array(F.collect_list(F.struct("turn", "msg_id", F.hex("words").alias("x")))).alias("m"))
+    said = said.select("conversation_id", F.col("pair").alias("run"), "role", F.unhex(F.array_join(F.transform("m", lambda v: v["x"]), "")).alias("w"))
+    side = lambda r, name: said.filter(F.col("role") == r).select("conversation_id", "run", F.col("w").alias(name))
+    copies = side(1, "a").join(side(0, "q"), ["conversation_id", "run"]).select("conversation_id", "run", "q", "a").mapInArrow(_copies, "conversation_id string, run long").withColumn("copy", F.lit(True))
+    # only pairs that ask meet the endings
+    cols = ["conversation_id", "run", "turn", "empty", F.col("end.cut").alias("cut"), "refusal", F.col("mine").alias("a_langs"), "q_langs", F.col("end.tail").alias("tail")]
+    asks = (F.col("end.cut") == ASK) & ~F.col("empty")
+    decided = pairs.filter(asks).select(*cols).join(complete_tails(f, ends), "tail", "left").unionByName(pairs.filter(~F.coalesce(asks, F.lit(False))).select(*cols, F.lit(None).cast("boolean").alias("complete")))
+    decided = decided.join(copies, ["conversation_id", "run"], "left")
     ends_short = (F.col("cut") == CUT) | ((F.col("cut") == ASK) & F.col("complete").isNull())
     foreign = (F.size("a_langs") > 0) & (F.size("q_langs") > 0) & ~F.arrays_overlap("a_langs", "q_langs")
     some = ~F.col("empty")
@@ -282,4 +387,4 @@ def defects(messages: DataFrame, model: langid.Model, seen: int = SEEN) -> DataF
     found: Column = F.concat(
         rule(F.col("empty"), "empty"), rule(some & ends_short, "truncated"), rule(some & F.col("refusal"), "refusal"), rule(some & F.col("copy"), "copy"), rule(some & foreign, "other_language")
     )
-    return pairs.select("conversation_id", F.col("turn").cast("int").alias("turn_index"), found.alias("defects")).filter(F.size("defects") > 0)
+    return decided.select("conversation_id", F.col("turn").cast("int").alias("turn_index"), found.alias("defects")).filter(F.size("defects") > 0)
