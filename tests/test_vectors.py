@@ -94,12 +94,50 @@ def test_winner(spark):
     assert [r[0] for r in got] == [pytest.approx(np.e), pytest.approx(np.exp(20)), None, None, None]
 
 
-def test_negatives(spark):
-    anchors = spark.createDataFrame([(1, 10, 1, 0.9, "a b"), (2, 10, 1, 0.9, "a b"), (3, 20, 2, 0.1, "a b")], "qid long, pos_id long, component int, pos_score double, pos_norm string")
+def test_negatives(spark, tmp_path):
+    unit = [1.0, 0.0]
+    anchors = spark.createDataFrame([(1, 10, 1, 0.9, "a b", unit), (2, 10, 1, 0.9, "a b", unit), (3, 20, 2, 0.1, "a b", unit)], "qid long, pos_id long, component int, pos_score double, pos_norm string, v array<double>")
     near = spark.createDataFrame([(1, 1, 20, 0.95), (1, 2, 11, 0.8), (1, 3, 21, 0.7), (1, 4, 22, 0.6), (2, 1, 11, 0.5), (3, 1, 10, 0.5)], "qid long, rank int, did long, score double")
-    corpus = spark.createDataFrame([(10, 1, "a b"), (11, 1, "x"), (20, 2, "c"), (21, 2, "b a"), (22, 3, "d")], "did long, component int, norm string")
+    corpus = spark.createDataFrame([(10, 1, "a b", unit), (11, 1, "x", unit), (20, 2, "c", [0.5, 0.5]), (21, 2, "b a", [0.5, 0.5]), (22, 3, "d", [0.5, 0.5])], "did long, component int, norm string, v array<double>")
     got = {r.qid: r for r in mining.mine(anchors, near, corpus).collect()}
     assert (got[1].did, got[1]["mode"]) == (22, "semi_hard") and got[1].margin == pytest.approx(0.3)
     assert got[2]["mode"] == got[3]["mode"] == "random_fallback" and got[2].did in (20, 21, 22) and got[3].did in (10, 11, 22)
+    assert got[2].margin == pytest.approx(0.4)
+    m = mining.margins(mining.mine(anchors, near, corpus)).first()
+    assert (m.rows, m.semi_hard, m.random_fallback) == (3, 1, 2) and m.mean_margin is not None
+    # the guard asks for texts, unless it is switched off
+    with pytest.raises(ValueError, match="Jaccard"):
+        mining.mine(anchors.drop("pos_norm"), near, corpus)
+    assert {r.qid: r.did for r in mining.mine(anchors, near, corpus, max_jaccard=None).collect()}[1] == 21
     with pytest.raises(Exception, match="single group"):
         mining.mine(anchors.filter("qid = 2"), near, corpus.filter("component = 1")).collect()
+    rows = spark.createDataFrame([("a", "x"), ("b", "x")], "row_uid string, negative string")
+    mining.write_negatives(rows, str(tmp_path / "n"), {"seed": 42})
+    assert mining.read_negatives(spark, str(tmp_path / "n"), 2).count() == 2
+    with pytest.raises(ValueError, match="wanted"):
+        mining.read_negatives(spark, str(tmp_path / "n"), 3)
+    with pytest.raises(Exception, match="more than one negative"):
+        mining.write_negatives(rows.union(rows), str(tmp_path / "twice"), {})
+
+
+@pytest.mark.parametrize("share", [0.1, 0.6, 0.99])
+def test_fallback_draws_widely(spark, share):
+    """Against brute force, with one group that holds most passages; the draws spread over the others."""
+    import hashlib
+
+    r = np.random.default_rng(5)
+    comp = [0 if r.random() < share else 1 + i % 7 for i in range(400)]
+    corpus = spark.createDataFrame(list(enumerate(comp)), "did long, component int")
+    anchors = spark.createDataFrame([(i, i, comp[i]) for i in range(400)], "qid long, pos_id long, component int")
+    got = {x.qid: x.did for x in mining.fallback(anchors, corpus, 42).collect()}
+    sha = lambda *x: hashlib.sha1("\0".join(map(str, x)).encode()).hexdigest()
+    order = sorted(range(400), key=lambda d: (sha(42, d), d))
+    for q in range(400):
+        for j in range(mining.DRAWS):
+            at = int(sha(42, q, j)[:12], 16) % 400
+            pick = next(order[(at + k) % 400] for k in range(400) if comp[order[(at + k) % 400]] != comp[q])
+            if pick != q:
+                break
+        assert got[q] == pick
+    if share < 0.5:
+        assert len(set(got.values())) > 200

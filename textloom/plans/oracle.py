@@ -184,26 +184,48 @@ _target = " UNION ALL ".join(
 )
 
 
-def mined(anchors: str) -> str:
-    return f"""{VECTORS},
+def mined(ctes: str, anchors: str, corpus: str, candidates: str, guard: str = "true") -> str:
+    """``anchors`` (qid, pos_id, component, pos_score, v, pos_norm), ``corpus`` (did, component, v, norm) and ``candidates`` (qid, did, score, rank) as the rules of mining say."""
+    return f"""{ctes},
 anchors AS ({anchors}),
-cand AS (
-  SELECT a.qid, n.did, n.score, n.rank FROM anchors a JOIN near n ON n.qid = a.qid AND n.rank <= 16 JOIN full_ c ON c.vec_id = n.did
-  WHERE n.did <> a.pos_id AND c.label <> a.component AND n.score <= a.pos_score - 0.02 QUALIFY row_number() OVER (PARTITION BY a.qid ORDER BY n.rank) = 1),
-ring AS (SELECT label, min((sha1('42' || chr(0) || vec_id), vec_id)) AS m FROM full_ GROUP BY label),
-two AS (SELECT label, m, row_number() OVER (ORDER BY m) AS k FROM ring QUALIFY k <= 2),
-drawn AS (
-  SELECT a.qid, t.m[2] AS did FROM anchors a JOIN two t ON t.label <> a.component WHERE a.qid NOT IN (SELECT qid FROM cand) QUALIFY row_number() OVER (PARTITION BY a.qid ORDER BY t.k) = 1),
+corpus AS ({corpus}),
+cand AS ({candidates}),
+hard AS (
+  SELECT a.qid, n.did, n.score FROM anchors a JOIN cand n ON n.qid = a.qid AND n.rank <= 16 JOIN corpus c ON c.did = n.did
+  WHERE n.did <> a.pos_id AND c.component <> a.component AND n.score <= a.pos_score - 0.02 AND {guard} QUALIFY row_number() OVER (PARTITION BY a.qid ORDER BY n.rank) = 1),
+ring AS (SELECT did, component, v, row_number() OVER (ORDER BY sha1('42' || chr(0) || did), did) - 1 AS place FROM corpus),
+draw AS (
+  SELECT a.*, j, (('0x' || substr(sha1('42' || chr(0) || a.qid || chr(0) || j), 1, 12))::BIGINT % (SELECT count(*) FROM ring)) AS start
+  FROM anchors a, range(0, 4) AS r(j) WHERE a.qid NOT IN (SELECT qid FROM hard)),
+led AS (
+  SELECT d.qid, d.j, d.pos_id, d.v AS q, r.did, r.v FROM draw d JOIN ring r ON r.component <> d.component
+  QUALIFY row_number() OVER (PARTITION BY d.qid, d.j ORDER BY r.place < d.start, r.place) = 1),
+drawn AS (SELECT * FROM led WHERE did <> pos_id QUALIFY row_number() OVER (PARTITION BY qid ORDER BY j) = 1),
 mined AS (
-  SELECT a.qid, did, 'semi_hard' AS mode, a.pos_score - score AS margin FROM cand JOIN anchors a USING (qid)
-  UNION ALL SELECT qid, did, 'random_fallback', NULL FROM drawn)"""
+  SELECT a.qid, did, 'semi_hard' AS mode, a.pos_score - score AS margin FROM hard JOIN anchors a USING (qid)
+  UNION ALL SELECT d.qid, d.did, 'random_fallback', a.pos_score - list_dot_product(d.q, d.v) FROM drawn d JOIN anchors a USING (qid))"""
 
 
-NEAR_ANCHORS = "SELECT n.qid, n.did AS pos_id, n.score AS pos_score, q.label AS component FROM near n JOIN full_ q ON q.vec_id = n.qid WHERE n.rank = 1"
-LABEL_ANCHORS = """SELECT q.vec_id AS qid, q.label AS component, c.vec_id AS pos_id, list_dot_product(q.v, c.v) AS pos_score
+VEC_CORPUS, VEC_NEAR = "SELECT vec_id AS did, label AS component, v, NULL AS norm FROM full_", "SELECT qid, did, score, rank FROM near"
+NEAR_ANCHORS = "SELECT n.qid, n.did AS pos_id, n.score AS pos_score, q.label AS component, q.v FROM near n JOIN full_ q ON q.vec_id = n.qid WHERE n.rank = 1"
+LABEL_ANCHORS = """SELECT q.vec_id AS qid, q.label AS component, c.vec_id AS pos_id, q.v, list_dot_product(q.v, c.v) AS pos_score
   FROM full_ q JOIN full_ c ON q.label = c.label AND q.vec_id <> c.vec_id AND q.vec_id % 100 = 0
   QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY c.vec_id < q.vec_id, c.vec_id) = 1"""
 
+_letters = lambda c: "[" + ", ".join(f"(length({c}) - length(replace({c}, '{x}', '')))::DOUBLE" for x in "abcdefghijklmnopqrstuvwxyz") + "]"
+_unit = lambda c: f"list_transform({_letters(c)}, lambda x: x / sqrt(list_dot_product({_letters(c)}, {_letters(c)})))"
+_some = lambda c: f"list_sum({_letters(c)}) > 0"
+TEXT_MINED = mined(
+    f"""{GROUPS},
+passages AS (SELECT min(_row) AS did, positive_norm AS norm, component, {_unit("positive_norm")} AS v FROM grouped WHERE {_some("positive_norm")} GROUP BY positive_norm, component),
+asked AS (SELECT g._row AS qid, g.component, p.did AS pos_id, p.norm AS pos_norm, {_unit("query_norm")} AS v, p.v AS w FROM grouped g JOIN passages p ON p.norm = g.positive_norm WHERE {_some("query_norm")})""",
+    "SELECT qid, component, pos_id, pos_norm, v, round(list_dot_product(v, w), 6) AS pos_score FROM asked",
+    "SELECT did, component, v, norm FROM passages",
+    """SELECT a.qid, p.did, round(list_dot_product(a.v, p.v), 6) AS score, row_number() OVER (PARTITION BY a.qid ORDER BY round(list_dot_product(a.v, p.v), 6) DESC, p.did) AS rank FROM asked a, passages p""",
+    f"coalesce(len(list_intersect({words('a.pos_norm')}, {words('c.norm')})) / nullif(len(list_distinct(list_concat({words('a.pos_norm')}, {words('c.norm')}))), 0), 0) < 0.88",
+)
+_MARGINS = "SELECT count(*) AS rows, count(*) FILTER (mode = 'semi_hard') AS semi_hard, count(*) FILTER (mode = 'random_fallback') AS random_fallback, round(avg(margin), 6) AS mean_margin, round(median(margin), 6) AS median_margin FROM mined"
+
 
 def shared(field: str, rows: str) -> str:
     return f"""SELECT '{field}' AS field, s.split_a, s.split_b, count(v.value) AS shared
@@ -261,12 +283,12 @@ whole_ones AS (SELECT split, digest FROM conv JOIN assigned USING (cid))""",
     "assistant_labels": q(LABELS, "SELECT cid AS conversation_id, n_tokens, sum_ids, n_labels, sum_labels FROM labels"),
     "label_truncation": q(
         f"""{CHAT},
-cutoff AS (SELECT cid, text, last, greatest(length(text) - 512, 0) AS c FROM whole JOIN msgs m USING (cid) WHERE m.turn = whole.last AND m.role = 'assistant'),
+cutoff AS (SELECT cid, text, greatest(length(text) - 512, 0) AS c FROM whole),
 seen AS (
   SELECT cid, sum(greatest(a + length(content) - greatest(a, c), 0)) AS n, sum({code_sum("substr(content, greatest(c - a, 0)::BIGINT + 1)")}) AS s
   FROM placed JOIN cutoff USING (cid) WHERE role = 'assistant' GROUP BY cid)""",
         f"""SELECT cid AS conversation_id, length(text) - c AS n_tokens, {code_sum("substr(text, c + 1)")} AS sum_ids, seen.n::BIGINT AS n_labels, (seen.s - 100 * (length(text) - c - seen.n))::BIGINT AS sum_labels
-FROM cutoff JOIN seen USING (cid)""",
+FROM cutoff JOIN seen USING (cid) WHERE seen.n > 0""",
     ),
     "collate_padding": q(
         f"{LABELS}, b AS (SELECT *, substr(sha1(cid), 1, 2) AS batch FROM labels), w AS (SELECT *, max(n_tokens) OVER (PARTITION BY batch) AS m FROM b)",
@@ -287,9 +309,11 @@ FROM cutoff JOIN seen USING (cid)""",
         f"{CALIBRATION}, t AS ({_target} UNION ALL SELECT dim, 'best_f1', threshold, precision, coverage FROM cal QUALIFY row_number() OVER (PARTITION BY dim ORDER BY f1 DESC, threshold) = 1)",
         f"SELECT dim, target, {_round(('threshold', 'precision', 'coverage'))} FROM t",
     ),
-    "hard_negatives": q(mined(NEAR_ANCHORS), "SELECT qid, did, mode, round(margin, 6) AS margin FROM mined"),
-    "hard_negatives_fallback": q(mined(LABEL_ANCHORS), "SELECT qid, did, mode, round(margin, 6) AS margin FROM mined"),
-    "hard_negative_margins": q(mined(NEAR_ANCHORS), "SELECT mode, count(*) AS rows, round(avg(margin), 6) AS mean_margin, round(median(margin), 6) AS median_margin FROM mined GROUP BY mode"),
+    "hard_negatives": q(mined(VECTORS, NEAR_ANCHORS, VEC_CORPUS, VEC_NEAR), "SELECT qid, did, mode, round(margin, 6) AS margin FROM mined"),
+    "hard_negatives_fallback": q(mined(VECTORS, LABEL_ANCHORS, VEC_CORPUS, VEC_NEAR), "SELECT qid, did, mode, round(margin, 6) AS margin FROM mined"),
+    "hard_negatives_text": q(TEXT_MINED, "SELECT qid, did, mode, round(margin, 6) AS margin FROM mined"),
+    "hard_negative_margins": q(mined(VECTORS, NEAR_ANCHORS, VEC_CORPUS, VEC_NEAR), _MARGINS),
+    "hard_negative_margins_fallback": q(mined(VECTORS, LABEL_ANCHORS, VEC_CORPUS, VEC_NEAR), _MARGINS),
     "eval_queries": q(BUNDLE, "SELECT printf('q%06d', k) AS qid, 'query: ' || query AS text FROM q WHERE k IN (SELECT k FROM rel)"),
     "eval_corpus": q(BUNDLE, "SELECT printf('d%06d', j) AS did, 'passage: ' || positive AS text, positive_norm FROM corpus"),
     "eval_qrels": q(BUNDLE, "SELECT printf('q%06d', k) AS qid, printf('d%06d', j) AS did FROM rel"),

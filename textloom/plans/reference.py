@@ -6,7 +6,8 @@ audit then reports); embeddings: vectors, of which every row whose id is divisib
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
@@ -270,23 +271,44 @@ def calibration_targets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _mine_near(spark: SparkSession, d: str) -> DataFrame:
-    """Anchor i, its passage the nearest other vector, groups by label, 16 candidates."""
+    """Anchor i, its passage the nearest other vector, groups by label, 16 candidates; vectors have no texts, so no Jaccard guard."""
     q, c = _vectors(spark, d)
-    e = table(spark, d, "embeddings").select(F.col("vec_id").alias("did"), F.col("label").alias("component"))
+    e = table(spark, d, "embeddings").select(F.col("vec_id").alias("did"), F.col("label").alias("component"), F.col("embedding").alias("v"))
     near = materialize(vectors.knn(q, c, 16), "near")
     pos = near.filter("rank = 1").select("qid", F.col("did").alias("pos_id"), F.col("score").alias("pos_score"))
-    anchors = pos.join(e.select(F.col("did").alias("qid"), "component"), "qid")
-    return mining.mine(anchors, near, e)
+    anchors = pos.join(e.select(F.col("did").alias("qid"), "component", "v"), "qid")
+    return mining.mine(anchors, near, e, max_jaccard=None)
 
 
 def _mine_label(spark: SparkSession, d: str) -> DataFrame:
     """Anchor i, its passage the next vector of its label (around the circle), so that most anchors take the fallback."""
     q, c = _vectors(spark, d)
     e = table(spark, d, "embeddings").select(F.col("vec_id").alias("did"), F.col("label").alias("component"), F.col("embedding").alias("v"))
-    later = q.join(e.select(F.col("did").alias("qid"), "component"), "qid").join(e.select("component", "did"), "component").filter("did <> qid")
-    nxt = later.groupBy("qid", "component").agg(F.min_by("did", F.struct((F.col("did") < F.col("qid")).alias("round"), F.col("did"))).alias("pos_id"))
-    anchors = nxt.join(q, "qid").join(e.select(F.col("did").alias("pos_id"), F.col("v").alias("w")), "pos_id").select("qid", "component", "pos_id", vectors.dot(F.col("v"), F.col("w")).alias("pos_score"))
-    return mining.mine(anchors, vectors.knn(q, c, 16), e.select("did", "component"))
+    lowest = e.groupBy("component").agg(F.min("did").alias("lowest"))
+    nxt = e.select("did", "component", F.lead("did").over(W.partitionBy("component").orderBy("did")).alias("later")).join(lowest, "component")
+    nxt = nxt.select(F.col("did").alias("qid"), "component", F.coalesce("later", "lowest").alias("pos_id")).filter("pos_id <> qid")
+    anchors = q.join(nxt, "qid").join(e.select(F.col("did").alias("pos_id"), F.col("v").alias("w")), "pos_id").select("qid", "component", "pos_id", "v", vectors.dot(F.col("v"), F.col("w")).alias("pos_score"))
+    return mining.mine(anchors, vectors.knn(q, c, 16), e, max_jaccard=None)
+
+
+def _letters(norm: Column) -> Column:
+    """A stand-in for an encoder: the letters a to z of a text, counted and scaled to unit length."""
+    n = [(F.length(norm) - F.length(F.replace(norm, F.lit(x), F.lit("")))).cast("double") for x in "abcdefghijklmnopqrstuvwxyz"]
+    length = F.sqrt(sum((c * c for c in n), F.lit(0.0)))
+    return F.when(length > 0, F.transform(F.array(*n), lambda c: c / length))
+
+
+def _mine_text(spark: SparkSession, d: str) -> DataFrame:
+    """The prepared pairs themselves: anchors are the questions, the corpus the passages, each once; the Jaccard guard is on."""
+    g = _grouped(spark, d)
+    c = g.groupBy("positive_norm", "component").agg(F.min("_row").alias("did")).withColumn("v", _letters(F.col("positive_norm"))).filter("v IS NOT NULL")
+    c = materialize(c.withColumnRenamed("positive_norm", "norm"), "passages")
+    q = g.select(F.col("_row").alias("qid"), "component", F.col("positive_norm").alias("pos_norm"), _letters(F.col("query_norm")).alias("v")).filter("v IS NOT NULL")
+    anchors = q.join(c.select(F.col("norm").alias("pos_norm"), F.col("did").alias("pos_id"), F.col("v").alias("w")), "pos_norm")
+    anchors = materialize(anchors.select("qid", "component", "pos_norm", "pos_id", "v", vectors.dot(F.col("v"), F.col("w")).alias("pos_score")), "anchors")
+    # scores are compared at six digits, so that equal letters are equal scores
+    near = vectors.knn(anchors.select("qid", "v"), c.select("did", "v"), 64, exclude_self=False).withColumn("score", F.round("score", 6))
+    return mining.mine(anchors.withColumn("pos_score", F.round("pos_score", 6)), vectors.ranked(near.drop("rank"), 16), c)
 
 
 def hard_negatives(spark: SparkSession, d: str) -> DataFrame:
@@ -297,10 +319,18 @@ def hard_negatives_fallback(spark: SparkSession, d: str) -> DataFrame:
     return _r6(_mine_label(spark, d), "margin")
 
 
+def hard_negatives_text(spark: SparkSession, d: str) -> DataFrame:
+    return _r6(_mine_text(spark, d), "margin")
+
+
 def hard_negative_margins(spark: SparkSession, d: str) -> DataFrame:
     return _r6(mining.margins(_mine_near(spark, d)), "mean_margin", "median_margin")
 
 
+def hard_negative_margins_fallback(spark: SparkSession, d: str) -> DataFrame:
+    return _r6(mining.margins(_mine_label(spark, d)), "mean_margin", "median_margin")
+
+
 # ---------------------------------------------------------------- evaluation tables
 
 
@@ -330,7 +360,7 @@ def select_winner(spark: SparkSession, d: str) -> DataFrame:
 
 
 def perplexity(spark: SparkSession, d: str) -> DataFrame:
-    """Of the mean distance to the passage, standing in for a loss, per label."""
+    """Of one less the mean first component, standing in for a loss, per label."""
     m = table(spark, d, "embeddings").groupBy("label").agg(F.avg(1 - F.col("embedding")[0].cast("double")).alias("loss"))
     return m.select("label", F.round(evaluate.perplexity(F.col("loss")), 6).alias("perplexity"))
 
@@ -342,6 +372,6 @@ QUERIES = {
         stable_hash_sample, row_uid, exact_pair_dedup, pair_counts, training_rows, components, components_replay, component_sizes, component_split, component_cap, split_isolation,
         conv_rejects, conv_messages, conv_language_set, conv_dedup, conv_split, conv_leakage, assistant_labels, label_truncation, collate_padding, generation_prompts,
         dim_truncate, knn_top10, knn_dims, knn_index_recall, ir_metrics, ir_metrics_by_dim, ir_extended, calibration, calibration_targets,
-        hard_negatives, hard_negatives_fallback, hard_negative_margins, eval_queries, eval_corpus, eval_qrels, select_winner, perplexity,
+        hard_negatives, hard_negatives_fallback, hard_negatives_text, hard_negative_margins, hard_negative_margins_fallback, eval_queries, eval_corpus, eval_qrels, select_winner, perplexity,
     )
 }
