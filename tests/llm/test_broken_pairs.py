@@ -31,7 +31,7 @@ def test_defects(spark, model):
         "comma": (A + " Then open the panel,", ["truncated"]), "word": (A + " Then open the", ["truncated"]), "fence": (A + "\n```\nset a = 1", ["truncated"]), "item": (A + "\n1. open the panel and save the change\n2. open the", ["truncated"]),
         "bracket": (A + " Then open (", ["truncated"]), "code": (A + "\n```\nset a = 1\n```", None), "thanks": ("Glad to hear it.", None),
         "refusal": ("I'm sorry, but I can't help with that. Please ask about something else.", ["refusal"]), "helps": ("I can't see your screen, but the steps below clear it. " + A, None), "german": ("Diese Frage darf ich nicht beantworten.", None),
-        "copy": ('> "' + Q.upper() + '"', ["copy"]), "part": ("Re: Could you explain how task timer is billed on the Meadow plan?", ["copy"]), "other": (spanish, ["other_language"]), "list": ("Do this.\n1. open the panel and save the change\n2. check it and save the change", None),
+        "copy": ('> "' + Q.upper() + '"', ["copy"]), "twice": (f"{Q} {Q}", ["copy"]), "part": ("Re: Could you explain how task timer is billed on the Meadow plan?", ["copy"]), "other": (spanish, ["other_language"]), "list": ("Do this.\n1. open the panel and save the change\n2. check it and save the change", None),
     }
     rows = [r for c, (a, _) in cases.items() for r in pair(c, a)]
     rows += pair("asked", spanish, Q + " Please answer in Spanish.") + [(f"end{k}", "1", "assistant", "1. open the panel and save the change\n2. wait") for k in range(3)]

@@ -29,7 +29,7 @@ from textloom.operators import turns
 from textloom.session import materialize, ship
 
 BLOCK = 4096  # turn numbers of a window partition
-COPIED = 0.8  # share of an answer's words that stand in the question in the same order
+COPIED = 0.8  # share of an answer's words that stand in the question, said once or several times over, in the same order
 ENDS = 0.15  # share of the places of three words at which a sentence must end
 SLOT_BITS = 22  # the map of the endings that are asked for has 2 ** SLOT_BITS bits, however many there are
 ROWS = 2_500  # rows that a task turns into features at a time
@@ -309,11 +309,12 @@ def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = []
         for k, (q, a) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
             x, y = ([i & _ID for i in memoryview(z or b"").cast("I")] for z in (a, q))
+            again = -(-len(x) // max(1, len(y)))  # an answer may say the question several times over
             if len(x) < 4:
-                same = x == y
+                same = bool(y) and x == y * again
             else:
                 known = set(y)
-                same = sum(w in known for w in x) >= COPIED * len(x) and lcs_length(x, y) >= COPIED * len(x)
+                same = sum(w in known for w in x) >= COPIED * len(x) and lcs_length(x, y * again) >= COPIED * len(x)
             if same:
                 keep.append(k)
         take = pa.array(keep, pa.int64())
@@ -367,7 +368,7 @@ def defects(messages: DataFrame, model: langid.Model, ends: float = ENDS) -> Dat
     pairs = materialize(runs.filter("role = 1").join(asked, ["conversation_id", "run"]), "pairs")
     # a word of the answer that the question lacks has a bit of its own at best
     lacks = sum((F.bit_count(F.col(b).bitwiseAND(F.bitwise_not(f"q{b}"))) for b in bits), F.lit(0))
-    may = pairs.filter((F.col("n") > 0) & (F.col("n") * COPIED <= F.col("q_n")) & (lacks <= F.col("n") * (1 - COPIED))).select("conversation_id", "run")
+    may = pairs.filter((F.col("n") > 0) & (F.col("q_n") > 0) & (lacks <= F.col("n") * (1 - COPIED))).select("conversation_id", "run")
     both = may.select("conversation_id", "run", F.col("run").alias("pair")).unionByName(may.select("conversation_id", (F.col("run") - 1).alias("run"), F.col("run").alias("pair")))
     need = rows.filter(full).select("conversation_id", "run", "role", "turn", "msg_id", "h").join(both, ["conversation_id", "run"])
     texts = f.select("h", "words").join(need.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.first("words").alias("words"))
