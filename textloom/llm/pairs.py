@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textloom.functions.words import WordIds, lcs_length, words
+from textloom.functions.words import lcs_length, words
 from textloom.llm import langid
 from textloom.operators import turns
 from textloom.session import materialize, ship
@@ -194,12 +194,44 @@ def tail_keys(w: np.ndarray) -> np.ndarray:
         return (h ^ (h >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
 
 
-_SMALL = "conversation_id string, turn long, msg_id long, role int, h long, blank boolean, refusal boolean, cut int, tail long, langs array<string>, asked array<string>, n int, b0 long, b1 long, b2 long, b3 long"
+_SMALL = "conversation_id string, turn long, msg_id long, role int, h long, blank boolean, refusal boolean, cut int, tail long, lang long, n int, b0 long, b1 long, b2 long, b3 long"
 _FEATURES = f"{_SMALL}, words binary"
 
 
+class _Numbers:
+    """Numbers of words under _ID; 0 for persons, which are left out."""
+
+    def __init__(self, most: int = 300_000):
+        self.known: dict[str, int] = dict.fromkeys(_PERSONS, 0)
+        self.most = most
+
+    def of(self, tokens: list[str]) -> list[int]:
+        known = self.known
+        try:
+            out = [known[w] for w in tokens]
+        except KeyError:
+            if len(known) > self.most:
+                self.known = known = dict.fromkeys(_PERSONS, 0)
+            for w in tokens:
+                if w not in known:
+                    known[w] = xxhash.xxh64_intdigest(w) & _ID or 1
+            out = [known[w] for w in tokens]
+        return [x for x in out if x] if 0 in out else out
+
+
+def _complete(sentence: str) -> bool:
+    """Whether a sentence has its terminator; three dots and the number of a list item are none."""
+    z = sentence.rstrip()
+    if z[-1:] not in _FULL_STOPS or z.endswith(".."):
+        return False
+    return not (z[-2:-1].isdigit() and _LIST_END.search(z[-12:]))
+
+
 def _featuriser(model: langid.Model) -> Callable:
-    def features(b: pa.RecordBatch, known: WordIds, short: list[str]) -> pa.RecordBatch:
+    short = [c.split("-")[0] for c in model.classes]
+    bit = {c: 1 << k for k, c in enumerate(sorted({*short, *_ASKED}))}  # a language is a bit: there are under 63 of them
+
+    def features(b: pa.RecordBatch, number: _Numbers) -> pa.RecordBatch:
         cid, turn, msg, role, content = (b.column(k) for k in range(5))
         roles = role.to_pylist()
         texts = content.to_pylist()
@@ -208,72 +240,59 @@ def _featuriser(model: langid.Model) -> Callable:
         split = [[] if e or r > 1 else langid.split_sentences(t) for e, r, t in zip(blank, roles, texts, strict=True)]
         toks = [[langid.sentence_tokens(s) for s in ss] for ss in split]
         # sentences of more than one letter have a language
-        says = [[len(t) > 1 or (len(t) == 1 and len(t[0]) > 1) for t in ts] for ts in toks]
-        flat = [t for ts, ok in zip(toks, says, strict=True) for t, k in zip(ts, ok, strict=True) if k]
+        flat = [t for ts in toks for t in ts if len(t) > 1 or (t and len(t[0]) > 1)]
         label = iter(model.predict(flat)[0].tolist()) if flat else iter(())
-        cols: list[list] = [[] for _ in range(6)]
-        arrays: list[np.ndarray] = []
-        for t, r, e, ss, ts, ok in zip(texts, roles, blank, split, toks, says, strict=True):
+        hashes, refusals, cuts, langs, lens = [], [], [], [], []
+        every: list[int] = []
+        for t, r, e, ss, ts in zip(texts, roles, blank, split, toks, strict=True):
             weight: dict[str, int] = {}
-            for tok, k in zip(ts, ok, strict=True):
-                if k:
+            before = len(every)
+            for k, (s, tok) in enumerate(zip(ss, ts, strict=True)):
+                if len(tok) > 1 or (tok and len(tok[0]) > 1):
                     lang = short[next(label)]
                     weight[lang] = weight.get(lang, 0) + len(tok)
-            asked: list[str] = []
-            if r == 0 and not e:
-                bare = _unaccented(t)
-                asked = [k for k, p in _ASKED_RE.items() if p.search(bare)] if any(x in bare for x in _ASKED_LATIN) or (not bare.isascii() and any(x in bare for x in _ASKED_OTHER)) else []
-            # the language with most words first
-            langs = sorted(weight, key=lambda k: (-weight[k], k)) if len(weight) > 1 else list(weight)
-            all_: list[str] = []
-            marks: list[tuple[int, int]] = []
-            for k, (s, tok) in enumerate(zip(ss, ts, strict=True)):
-                at = len(all_)
-                all_ += [w for w in tok if w not in _PERSONS]
-                if len(all_) > at:
-                    marks.append((at, _START))
-                    z = s.rstrip()
+                x = number.of(tok)
+                if x:
                     # a sentence with its terminator, or a list item that another one follows
-                    if (z[-1:] in _FULL_STOPS and not _DOTS.search(z[-4:]) and not _LIST_END.search(z[-12:])) or (k + 1 < len(ss) and _ITEM.match(s)):
-                        marks.append((len(all_) - 1, _END))
-            w = np.array(known.ids(all_), np.uint64).astype(np.uint32) & np.uint32(_ID)
-            for at, m in marks:
-                w[at] |= np.uint32(m)
-            arrays.append(w)
+                    if _complete(s) or (k + 1 < len(ss) and _ITEM.match(s)):
+                        x[-1] |= _END
+                    x[0] |= _START
+                    every += x
+            lens.append(len(every) - before)
+            mask = 0
+            if r == 0 and not e:  # what a question uses or asks for
+                bare = _unaccented(t)
+                if any(x in bare for x in _ASKED_LATIN) or (not bare.isascii() and any(x in bare for x in _ASKED_OTHER)):
+                    mask = sum(bit[k] for k, p in _ASKED_RE.items() if p.search(bare))
+                for k in weight:
+                    mask |= bit[k]
+            elif weight:  # the language of most of an answer
+                mask = bit[min(weight, key=lambda k: (-weight[k], k))]
+            hashes.append(xxhash.xxh64_intdigest(f"{r}\x1f{t}") - 2**63)
+            refusals.append(r == 1 and not e and declines(t, ss))
             cut = OPEN if e or r != 1 else ending(t)
-            for c, v in zip(cols, (xxhash.xxh64_intdigest(f"{r}\x1f{t}") - 2**63, e, r == 1 and not e and declines(t, ss), cut, langs, asked), strict=True):
-                c.append(v)
-        # the key of the last words, where they have to be asked for; a text without words ends as it likes
-        asks = [k for k, c in enumerate(cols[3]) if c == ASK]
-        for k in asks:
-            if not len(arrays[k]):
-                cols[3][k] = OPEN
-        asks = [k for k in asks if len(arrays[k])]
-        tails: list[int | None] = [None] * len(texts)
-        if asks:
-            last = [arrays[k][-3:] for k in asks]
-            keys = tail_keys(np.concatenate([np.concatenate([np.full(1, _START, np.uint32), x]) for x in last])).view(np.int64)
-            for k, at in zip(asks, np.cumsum([len(x) + 1 for x in last]) - 1, strict=True):
-                tails[k] = int(keys[at])
+            cuts.append(OPEN if cut == ASK and not lens[-1] else cut)  # a text without words ends as it likes
+            langs.append(mask)
+        w = np.array(every, np.uint32)
+        n = np.array(lens, np.int64)
+        upto = np.cumsum(n)
+        asks = np.array(cuts) == ASK
+        tails = pa.array(tail_keys(w)[np.where(asks, upto - 1, 0)].view(np.int64) if len(w) else np.zeros(len(n), np.int64), mask=~asks)
         # 256 bits, one for each word: what an answer's bits have beside its question's, the question lacks
-        lens = np.array([len(x) for x in arrays], np.int64)
-        words_ = np.concatenate([np.zeros(0, np.uint32), *arrays]) & np.uint32(_ID)
-        bits = np.zeros((len(arrays), 256), np.uint8)
-        bits[np.repeat(np.arange(len(arrays)), lens), (words_.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)).astype(np.int64)] = 1
+        bits = np.zeros((len(n), 256), np.uint8)
+        bits[np.repeat(np.arange(len(n)), n), ((w & np.uint32(_ID)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)).astype(np.int64)] = 1
         packed = np.packbits(bits, axis=1).view(np.int64)
-        kinds = [pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.string())]
-        h, e, refusal, cut_, langs_, asked_ = (pa.array(c, k) for c, k in zip(cols, kinds, strict=True))
+        words_ = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(np.concatenate([[0], upto * 4]).astype(np.int32)), pa.py_buffer(w)])
         return pa.RecordBatch.from_arrays(
-            [cid, turn, msg, role.cast(pa.int32()), h, e, refusal, cut_, pa.array(tails, pa.int64()), langs_, asked_, pa.array(lens.astype(np.int32)), *(pa.array(np.ascontiguousarray(packed[:, k])) for k in range(4)), pa.array([x.tobytes() for x in arrays], pa.binary())],
-            ["conversation_id", "turn", "msg_id", "role", "h", "blank", "refusal", "cut", "tail", "langs", "asked", "n", "b0", "b1", "b2", "b3", "words"],
+            [cid, turn, msg, role.cast(pa.int32()), pa.array(hashes, pa.int64()), pa.array(blank, pa.bool_()), pa.array(refusals, pa.bool_()), pa.array(cuts, pa.int32()), tails, pa.array(langs, pa.int64()), pa.array(n.astype(np.int32)), *(pa.array(np.ascontiguousarray(packed[:, k])) for k in range(4)), words_],
+            ["conversation_id", "turn", "msg_id", "role", "h", "blank", "refusal", "cut", "tail", "lang", "n", "b0", "b1", "b2", "b3", "words"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordIds(200_000)
-        short = [c.split("-")[0] for c in model.classes]
+        number = _Numbers()
         for b in batches:
             for at in range(0, b.num_rows, ROWS):
-                yield features(b.slice(at, ROWS), known, short)
+                yield features(b.slice(at, ROWS), number)
 
     return run
 
@@ -322,20 +341,19 @@ def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def number_runs(rows: DataFrame) -> DataFrame:
-    """``rows`` (conversation_id, turn, msg_id, role, ..) with ``run``: successive rows of one role of a conversation, in turn order, have one number.
+    """``rows`` (conversation_id, turn, msg_id, role, ..) with ``run`` and ``place``: successive rows of one role of a conversation, in turn order, have one run number; places rise in turn order.
 
     Numbers are dealt within stretches of BLOCK turn numbers and the stretches joined by what stands at their ends, so a
     conversation of any length is spread over tasks and a run may be of any length.
     """
     x = rows.withColumn("block", F.floor(F.col("turn").cast("double") / BLOCK))
     w = W.partitionBy("conversation_id", "block").orderBy("turn", "msg_id", "role")
-    x = x.withColumn("run", F.sum(F.coalesce((F.lag("role").over(w) != F.col("role")).cast("bigint"), F.lit(0))).over(w))
-    at = F.struct("turn", "msg_id", "role")
-    ends = x.groupBy("conversation_id", "block").agg(F.min_by("role", at).alias("first"), F.max_by("role", at).alias("last"), F.max("run").alias("changes"))
+    x = x.withColumn("k", F.row_number().over(w)).withColumn("run", F.sum(F.coalesce((F.lag("role").over(w) != F.col("role")).cast("bigint"), F.lit(0).cast("bigint"))).over(w))
+    ends = x.groupBy("conversation_id", "block").agg(F.min_by("role", "k").alias("first"), F.max_by("role", "k").alias("last"), F.max("run").alias("changes"), F.count("*").alias("n"))
     wb = W.partitionBy("conversation_id").orderBy("block")
-    starts = F.coalesce((F.lag("last").over(wb) != F.col("first")).cast("bigint"), F.lit(1))
-    ends = ends.withColumn("starts", starts).select("conversation_id", "block", (F.sum(F.col("starts") + F.col("changes")).over(wb) - F.col("changes")).alias("base"))
-    return x.join(ends, ["conversation_id", "block"]).withColumn("run", F.col("run") + F.col("base")).drop("block", "base")
+    starts = F.coalesce((F.lag("last").over(wb) != F.col("first")).cast("bigint"), F.lit(1).cast("bigint"))
+    ends = ends.withColumn("starts", starts).select("conversation_id", "block", (F.sum(F.col("starts") + F.col("changes")).over(wb) - F.col("changes")).alias("base"), (F.sum("n").over(wb) - F.col("n")).alias("before"))
+    return x.join(ends, ["conversation_id", "block"]).withColumn("run", F.col("run") + F.col("base")).withColumn("place", F.col("k") + F.col("before")).drop("block", "base", "before", "k")
 
 
 def defects(messages: DataFrame, model: langid.Model, ends: float = ENDS) -> DataFrame:
@@ -349,40 +367,36 @@ def defects(messages: DataFrame, model: langid.Model, ends: float = ENDS) -> Dat
     ev = turns.events(messages, F.col("msg_id").cast("bigint").alias("msg_id")).filter("turn IS NOT NULL")
     code = F.when(F.col("role") == "user", 0).when(F.col("role") == "assistant", 1).otherwise(2)
     f = materialize(ev.select("conversation_id", "turn", "msg_id", code.alias("role"), "content").mapInArrow(_featuriser(model), _FEATURES), "features")
+    bits = [f"b{k}" for k in range(4)]
     # deliveries of a message have equal features
-    rest = [F.first(c).alias(c) for c in ("blank", "refusal", "cut", "tail", "langs", "asked", "n", "b0", "b1", "b2", "b3")]
-    once = f.groupBy("conversation_id", "turn", "role", "h").agg(F.min("msg_id").alias("msg_id"), *rest)
+    once = f.groupBy("conversation_id", "turn", "role", "h").agg(F.min("msg_id").alias("msg_id"), *(F.first(c).alias(c) for c in ("blank", "refusal", "cut", "tail", "lang", "n", *bits)))
     rows = materialize(number_runs(once), "rows")
     full = ~F.col("blank")
-    bits = [f"b{k}" for k in range(4)]
+    last = F.when(full, F.col("place"))
     runs = rows.filter("role < 2").groupBy("conversation_id", "run", "role").agg(
-        F.min("turn").alias("turn"), F.bool_and("blank").alias("empty"),
-        F.max_by(F.struct("cut", "tail"), F.when(full, F.struct("turn", "msg_id"))).alias("end"),
-        F.bool_and(F.when(full, F.col("refusal"))).alias("refusal"),
-        F.collect_set(F.when(full, F.get("langs", F.lit(0)))).alias("mine"),
-        F.array_distinct(F.flatten(F.collect_set(F.when(full, F.concat("langs", "asked"))))).alias("said"),
-        F.sum(F.when(full, F.col("n")).otherwise(0)).alias("n"), *(F.bit_or(F.when(full, F.col(b)).otherwise(F.lit(0).cast("bigint"))).alias(b) for b in bits),
+        F.min("turn").alias("turn"), F.bool_and("blank").alias("empty"), F.max_by("cut", last).alias("cut"), F.max_by("tail", last).alias("tail"), F.bool_and(F.when(full, F.col("refusal"))).alias("refusal"),
+        F.bit_or(F.when(full, F.col("lang")).otherwise(F.lit(0).cast("bigint"))).alias("lang"), F.sum(F.when(full, F.col("n")).otherwise(0)).alias("n"),
+        *(F.bit_or(F.when(full, F.col(b)).otherwise(F.lit(0).cast("bigint"))).alias(b) for b in bits),
     )
     runs = materialize(runs, "runs")
-    asked = runs.filter("role = 0 AND NOT empty").select("conversation_id", (F.col("run") + 1).alias("run"), F.col("said").alias("q_langs"), F.col("n").alias("q_n"), *(F.col(b).alias(f"q{b}") for b in bits))
-    pairs = materialize(runs.filter("role = 1").join(asked, ["conversation_id", "run"]), "pairs")
+    asked = runs.filter("role = 0 AND NOT empty").select("conversation_id", (F.col("run") + 1).alias("run"), F.col("lang").alias("q_lang"), F.col("n").alias("q_n"), *(F.col(b).alias(f"q{b}") for b in bits))
     # a word of the answer that the question lacks has a bit of its own at best
     lacks = sum((F.bit_count(F.col(b).bitwiseAND(F.bitwise_not(f"q{b}"))) for b in bits), F.lit(0))
-    may = pairs.filter((F.col("n") > 0) & (F.col("q_n") > 0) & (lacks <= F.col("n") * (1 - COPIED))).select("conversation_id", "run")
+    may_copy = (F.col("n") > 0) & (F.col("q_n") > 0) & (lacks <= F.col("n") * (1 - COPIED))
+    pairs = materialize(runs.filter("role = 1").join(asked, ["conversation_id", "run"]).select("conversation_id", "run", "turn", "empty", "cut", "tail", "refusal", "lang", "q_lang", may_copy.alias("may_copy")), "pairs")
+    may = pairs.filter("may_copy").select("conversation_id", "run")
     both = may.select("conversation_id", "run", F.col("run").alias("pair")).unionByName(may.select("conversation_id", (F.col("run") - 1).alias("run"), F.col("run").alias("pair")))
-    need = rows.filter(full).select("conversation_id", "run", "role", "turn", "msg_id", "h").join(both, ["conversation_id", "run"])
+    need = rows.filter(full).select("conversation_id", "run", "role", "place", "h").join(both, ["conversation_id", "run"])
     texts = f.select("h", "words").join(need.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.first("words").alias("words"))
-    said = need.join(texts, "h").groupBy("conversation_id", "pair", "role").agg(F.sort_array(F.collect_list(F.struct("turn", "msg_id", F.hex("words").alias("x")))).alias("m"))
+    said = need.join(texts, "h").groupBy("conversation_id", "pair", "role").agg(F.sort_array(F.collect_list(F.struct("place", F.hex("words").alias("x")))).alias("m"))
     said = said.select("conversation_id", F.col("pair").alias("run"), "role", F.unhex(F.array_join(F.transform("m", lambda v: v["x"]), "")).alias("w"))
-    side = lambda r, name: said.filter(F.col("role") == r).select("conversation_id", "run", F.col("w").alias(name))
-    copies = side(1, "a").join(side(0, "q"), ["conversation_id", "run"]).select("conversation_id", "run", "q", "a").mapInArrow(_copies, "conversation_id string, run long").withColumn("copy", F.lit(True))
-    # only pairs that ask meet the endings
-    cols = ["conversation_id", "run", "turn", "empty", F.col("end.cut").alias("cut"), "refusal", F.col("mine").alias("a_langs"), "q_langs", F.col("end.tail").alias("tail")]
-    asks = (F.col("end.cut") == ASK) & ~F.col("empty")
-    decided = pairs.filter(asks).select(*cols).join(complete_tails(f, ends), "tail", "left").unionByName(pairs.filter(~F.coalesce(asks, F.lit(False))).select(*cols, F.lit(None).cast("boolean").alias("complete")))
-    decided = decided.join(copies, ["conversation_id", "run"], "left")
-    ends_short = (F.col("cut") == CUT) | ((F.col("cut") == ASK) & F.col("complete").isNull())
-    foreign = (F.size("a_langs") > 0) & (F.size("q_langs") > 0) & ~F.arrays_overlap("a_langs", "q_langs")
+    two = said.groupBy("conversation_id", "run").agg(F.max(F.when(F.col("role") == 0, F.col("w"))).alias("q"), F.max(F.when(F.col("role") == 1, F.col("w"))).alias("a"))
+    copies = two.mapInArrow(_copies, "conversation_id string, run long").withColumn("copy", F.lit(True))
+    # a pair that asks for nothing has a key of its own, so that no key is hot; keys that are asked for are known by it
+    asks = F.coalesce((F.col("cut") == ASK) & ~F.col("empty"), F.lit(False))
+    decided = pairs.withColumn("tail", F.when(asks, F.col("tail")).otherwise(F.xxhash64("conversation_id", "run"))).join(complete_tails(f, ends), "tail", "left").join(copies, ["conversation_id", "run"], "left")
+    ends_short = (F.col("cut") == CUT) | (asks & F.col("complete").isNull())
+    foreign = (F.col("lang") != 0) & (F.col("q_lang") != 0) & (F.col("lang").bitwiseAND(F.col("q_lang")) == 0)
     some = ~F.col("empty")
     rule = lambda ok, name: F.when(F.coalesce(ok, F.lit(False)), F.array(F.lit(name))).otherwise(F.array().cast("array<string>"))
     found: Column = F.concat(
