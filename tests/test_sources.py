@@ -4,7 +4,7 @@ import zipfile
 
 import pytest
 
-from textloom.sources import config, files, runs
+from textloom.sources import config, files, host, runs
 
 
 def test_csv(spark, tmp_path):
@@ -24,14 +24,29 @@ def test_archive_and_discovery(tmp_path):
         z.writestr("a.csv", "x")
         z.writestr("in/B.CSV", "longer")
         z.writestr("c.txt", "longest of all")
-    assert open(files.discover(str(tmp_path))).read() == "longer"
-    assert files.discover(str(tmp_path)).endswith("data.csv")
+    staged = tmp_path / "staged"
+    assert open(files.discover(str(tmp_path), staged=str(staged))).read() == "longer"
+    with pytest.raises(ValueError, match="archive"):
+        files.discover(str(tmp_path))
+    # a data file beside the archive is read as it is, and never replaced by what an archive holds
+    (tmp_path / "data.csv").write_text("mine")
+    assert open(files.discover(str(tmp_path))).read() == "mine"
+    found = files.discover(str(tmp_path), str(tmp_path / "dataset.zip"), str(tmp_path))
+    assert open(found).read() == "longer" and (tmp_path / "data.csv").read_text() == "mine"
     with pytest.raises(FileNotFoundError):
         files.discover(str(tmp_path), str(tmp_path / "missing.csv"))
     with pytest.raises(FileNotFoundError):
         files.discover(str(tmp_path / "nowhere"))
 
 
+def test_row_numbers_over_files(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"{k}.csv").write_text("query,positive\n" + "".join(f"q{k}{i},p\n" for i in range(4)))
+    got = files.read_pairs(spark, str(tmp_path)).orderBy("pair_row").collect()
+    assert [r.pair_row for r in got] == list(range(12))
+    assert all(got[i].query[1] == got[i + 1].query[1] and got[i].query < got[i + 1].query for i in range(0, 12, 4))
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("train", "NA", 1), ("test", "ü", 2)], "split string, text string, n int")
     files.write_splits(df, str(tmp_path / "p"))
@@ -87,6 +102,69 @@ def test_runs(tmp_path):
         runs.allocate(root, {"x": (1, 2)}, run_id=os.path.basename(a))
     with pytest.raises(FileNotFoundError):
         runs.allocate(str(tmp_path / "none"), {}, "resume")
+    b = runs.allocate(root, {"x": 9}, "new")
+    assert runs.allocate(root, {"x": 9}, "resume") == b
+    with pytest.raises(FileNotFoundError, match="settings"):  # a run of other settings is not entered
+        runs.allocate(root, {"x": 10}, "resume")
+    runs.point(root, b)
+    assert os.path.realpath(os.path.join(root, "latest-incomplete")) == os.path.realpath(b)
+    runs.point(root, b, done=True)
+    assert not os.path.lexists(os.path.join(root, "latest-incomplete")) and open(os.path.join(root, "latest-completed.txt")).read().strip() == b
+
+
+def test_stages_are_repaired(tmp_path):
+    run, one, two = str(tmp_path), tmp_path / "one", tmp_path / "two"
+    paths = {"stage1": str(one), "stage2": str(two)}
+    assert runs.stage_state(run, {"x": 1}, paths)["stage1_complete"] is False
+    done = {**files.read_json(os.path.join(run, "run_state.json")), "stage1_complete": True, "stage2_complete": True, "final_evaluation_complete": True}
+    files.write_json(os.path.join(run, "run_state.json"), done)
+    two.mkdir()
+    assert runs.stage_state(run, {"x": 1}, paths)["stage1_complete"] is True  # what came of it is there
+    two.rmdir()
+    one.mkdir()
+    got = runs.stage_state(run, {"x": 1}, paths)
+    assert (got["stage1_complete"], got["stage2_complete"], got["final_evaluation_complete"]) == (True, False, False)
+    with pytest.raises(ValueError, match="other settings"):
+        runs.stage_state(run, {"x": 2}, paths)
+
+
+def test_host(spark, tmp_path, capsys):
+    f = host.facts(str(tmp_path), spark)
+    assert f["logical_cpus"] > 0 and f["disk_free_gib"] > 0 and f["spark"] == spark.version
+    assert host.gib(3 * 2**30) == 3.0 and host.percent(1, 3) == 33.33 and host.percent(1, 0) == 0.0
+    assert host.preflight({"memory_available_gib": 9, "disk_free_gib": 3, "avx2": False}) == ["only 3.00 GiB of disk are free", "the processor has no AVX2"]
+    with pytest.raises(RuntimeError, match="memory"):
+        host.preflight({"memory_available_gib": 1, "disk_free_gib": 3})
+    log = host.logger("t", str(tmp_path / "x" / "run.log"))
+    log.info("hello")
+    assert "hello" in (tmp_path / "x" / "run.log").read_text() and "hello" in capsys.readouterr().out
+    assert host.batch_for(3, 64) == 3 and host.batch_for(100, 64) == 64
+    with pytest.raises(ValueError):
+        host.batch_for(1, 64)
+    assert host.seeded(seed=7)["textloom.seed"] == "7"
+
+
+def test_command_line(tmp_path):
+    f = tmp_path / "own.env"
+    f.write_text("TEXTLOOM_SEED=7\nTEXTLOOM_TOP_K=9\n")
+    name, p = config.arguments(["--profile", "smoke", "--env-file", str(f), "--top-k", "5", "--dims", "64,32", "--max-train-rows", "auto"], environ={"TEXTLOOM_SEED": "8"})
+    assert name == "smoke" and (p.seed, p.top_k, p.dims, p.max_train_rows) == (8, 5, (64, 32), None)
+    with pytest.raises(SystemExit):
+        config.arguments(["--profile", "none"], environ={})
+    assert config.computed({"seed": 1, "run_id": "x", "output": "y"}) == {"seed": 1}
+    assert config.resources(4) == {"batch": 16, "mining_block": 256, "eval_block": 5000} and config.resources(100, current=30_000)["eval_block"] == 30_000
+    for bad in ({"top_k": 1}, {"max_train_rows": 99}, {"eval_corpus": 1}, {"min_margin": -0.1}, {"max_jaccard": 1.1}, {"max_length": 31}):
+        with pytest.raises(ValueError):
+            config.resolve("vm", environ={}, cli=bad)
+
+
+def test_reports(spark):
+    m = spark.createDataFrame([(32, 0.25, 0.5, 0.3, 0.35), (64, 1.0, 1.0, 1.0, 1.0)], "dim int, accuracy_1 double, recall_5 double, mrr_10 double, ndcg_10 double")
+    text = runs.retrieval_report({"Run": "r1"}, {"RAM": 8}, {"Rows": 2}, m, {64: 1.5})
+    assert text.index("| 64 | 1.0000") < text.index("| 32 | 0.2500 | 0.5000 | 0.3000 | 0.3500 | n/a |") and "1.500" in text and "- Rows: 2" in text
+    assert "| n/a |" in runs.retrieval_report({}, {}, {}, m.limit(0))
+    s = spark.createDataFrame([("c", "hi\nthere", None)], "conversation_id string, last_prompt string, expected string")
+    assert "> hi\n> there" in runs.conversation_report({}, {"train": 1}, {"loss": 0.5}, s)
 
 
 def test_cache_and_report(spark, tmp_path):

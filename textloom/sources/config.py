@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import argparse
 import os
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, fields, replace
@@ -99,17 +100,51 @@ def validate(p: Profile) -> None:
     """Raises on the first setting out of range."""
     checks = [
         (len(p.fractions) == 3 and abs(sum(p.fractions) - 1) <= 1e-9 and min(p.fractions) > 0, "fractions must be three positive numbers that sum to 1"),
-        (p.max_train_rows is None or p.max_train_rows > 0, "max_train_rows must be positive"), (p.max_conversations is None or p.max_conversations >= 3, "max_conversations must be 3 or more"),
-        (p.eval_queries > 0 and p.eval_corpus >= p.eval_queries, "eval_corpus must hold the evaluation queries"), (p.top_k > 0, "top_k must be positive"), (p.threshold > 1, "threshold must exceed 1"),
-        (bool(p.dims) and min(p.dims) > 0 and list(p.dims) == sorted(set(p.dims), reverse=True), "dims must be positive and fall"), (p.max_length > 0, "max_length must be positive"), (0 <= p.min_margin < 1, "min_margin must be in [0, 1)"), (0 < p.max_jaccard <= 1, "max_jaccard must be in (0, 1]"),
+        (p.max_train_rows is None or p.max_train_rows >= 100, "max_train_rows must be 100 or more where it is set"), (p.max_conversations is None or p.max_conversations >= 3, "max_conversations must be 3 or more"),
+        (p.eval_queries > 0 and p.eval_corpus >= 2, "eval_queries must be positive and eval_corpus 2 or more"), (p.top_k >= 2, "top_k must be 2 or more"), (p.threshold > 1, "threshold must exceed 1"),
+        (bool(p.dims) and min(p.dims) > 0 and list(p.dims) == sorted(set(p.dims), reverse=True), "dims must be positive and fall"), (32 <= p.max_length, "max_length must be 32 or more"), (p.min_margin >= 0, "min_margin cannot be negative"), (0 <= p.max_jaccard <= 1, "max_jaccard must be in [0, 1]"), (max(p.fractions) < 1, "each fraction must be under 1"),
     ]
     for ok, message in checks:
         if not ok:
             raise ValueError(message)
 
 
+STEPS = ((12, 128), (8, 96), (4, 64), (2, 32), (0, 16))  # GiB of budget and rows of a batch from there on (fixed values)
+
+
+def between(low: int, value: int, high: int) -> int:
+    return sorted((low, value, high))[1]
+
+
 def resources(available_gib: float, reserve_gib: float = 4.0, utilization: float = 0.8, most: int = 128, eval_corpus: int = 5000, current: int = 0) -> dict[str, int]:
-    """Batch and block sizes for the memory at hand: 128, 96, 64, 32 or 16 rows from 12, 8, 4, 2 or fewer GiB of budget."""
-    budget = max(0.0, available_gib - reserve_gib) * utilization
-    batch = min(most, next((b for least, b in ((12, 128), (8, 96), (4, 64), (2, 32)) if budget >= least), 16))
-    return {"batch": batch, "mining_block": min(4096, max(256, 8 * batch)), "eval_block": max(current, min(max(eval_corpus, current), 20_000))}
+    """Batch and block sizes for the memory at hand (see ``host.facts``).
+
+    The budget is what is left above the reserve. Mining works on eight batches at a time, 256 to 4096 rows; evaluation on
+    the whole corpus up to 20,000 rows, and never on smaller blocks than it does now.
+    """
+    budget = utilization * (available_gib - reserve_gib)
+    batch = next((rows for least, rows in STEPS if budget >= least), STEPS[-1][1])
+    batch = min(batch, most)
+    block = between(256, 8 * batch, 4096)
+    return {"batch": batch, "mining_block": block, "eval_block": current if current >= 20_000 else between(current, eval_corpus, 20_000)}
+
+
+# settings that say where and how a run is kept, not what it computes (fixed values)
+NOT_COMPUTED = ("output", "output_root", "run_mode", "run_id", "run_label", "create_latest_links", "overwrite_output", "print_config")
+
+
+def computed(settings: Mapping[str, Any]) -> dict[str, Any]:
+    """The settings that a run's fingerprint is taken over."""
+    return {k: v for k, v in settings.items() if k not in NOT_COMPUTED}
+
+
+def arguments(argv: list[str], prefix: str = "TEXTLOOM_", **where: Any) -> tuple[str, Profile]:
+    """Profile name and settings of a command line: --profile NAME and one option for every setting; the line wins over the environment, that over the file, and that over the profile."""
+    p = argparse.ArgumentParser(prog="textloom")
+    p.add_argument("--profile", choices=sorted(PROFILES), default="vm")
+    p.add_argument("--env-file")
+    for f in fields(Profile):
+        p.add_argument(f"--{f.name.replace('_', '-')}", type=lambda t, k=_KINDS.get(f.name, "int"): parse(t, k), default=argparse.SUPPRESS)
+    got = vars(p.parse_args(argv))
+    name, explicit = got.pop("profile"), got.pop("env_file")
+    return name, resolve(name, prefix, got, **({"explicit": explicit} if explicit else {}), **where)

@@ -12,6 +12,7 @@ from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,35 +42,42 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _numbered(df: DataFrame, name: str) -> DataFrame:
-    """Adds the row number in file order; a multi-line CSV file is one partition, so order within it is order of ids."""
-    schema = T.StructType([T.StructField(name, T.LongType(), False), *df.schema.fields])
-    return df.rdd.zipWithIndex().map(lambda x: (x[1], *x[0])).toDF(schema)
+    """Adds the row number in file order, from 0 without gaps. Rows are numbered where they are read; only the partitions' row counts are added up."""
+    at = F.monotonically_increasing_id()
+    x = df.select(F.shiftright(at, 33).alias("_part"), at.bitwiseAND(F.lit((1 << 33) - 1)).alias("_k"), *(F.col(f"`{c}`") for c in df.columns))
+    per = x.groupBy("_part").agg(F.count("*").alias("n"))  # a row a partition
+    base = per.select("_part", (F.sum("n").over(W.orderBy("_part")) - F.col("n")).alias("_base"))
+    return x.join(base, "_part").select((F.col("_base") + F.col("_k")).alias(name), *(F.col(f"`{c}`") for c in df.columns))
 
 
-def largest_csv(archive: str, into: str) -> str:
-    """Path of the largest .csv member of a zip file, copied to ``into``/data.csv."""
+def unpack_csv(archive: str, staged: str) -> str:
+    """The largest .csv member of a zip file, unpacked into the folder ``staged`` under a name of its own that nothing else has there."""
     with zipfile.ZipFile(archive) as z:
-        members = [m for m in z.infolist() if m.filename.lower().endswith(".csv") and not m.is_dir()]
-        if not members:
+        sizes = {m.filename: m.file_size for m in z.infolist() if not m.is_dir() and Path(m.filename).suffix.lower() == ".csv"}
+        if not sizes:
             raise FileNotFoundError(f"no CSV in {archive}")
-        best = max(members, key=lambda m: m.file_size)
-        target = os.path.join(into, "data.csv")
-        with z.open(best) as src, open(target, "wb") as dst:
-            shutil.copyfileobj(src, dst)
+        Path(staged).mkdir(parents=True, exist_ok=True)
+        fd, target = tempfile.mkstemp(dir=staged, prefix=f"{Path(archive).stem}-", suffix=".csv")
+        with os.fdopen(fd, "wb") as out, z.open(max(sizes, key=lambda k: (sizes[k], k))) as member:
+            shutil.copyfileobj(member, out)
     return target
 
 
-def discover(folder: str, explicit: str | None = None) -> str:
-    """The data file: the one named, which must exist, or the first candidate in ``folder``; a zip file gives its largest CSV."""
-    if explicit:
-        if not os.path.exists(explicit):
-            raise FileNotFoundError(explicit)
-        found = explicit
-    else:
-        found = next((p for c in CANDIDATES if os.path.exists(p := os.path.join(folder, c))), None)
-        if found is None:
-            raise FileNotFoundError(f"none of {', '.join(CANDIDATES)} in {folder}")
-    return largest_csv(found, folder) if found.lower().endswith(".zip") else found
+def discover(folder: str, explicit: str | None = None, staged: str | None = None) -> str:
+    """The data file: the one named, which must exist, or the first candidate in ``folder``.
+
+    A zip file gives its largest CSV, unpacked into ``staged``, which the caller names for that case; the folder of the
+    data is never written to.
+    """
+    places = [explicit] if explicit else [os.path.join(folder, c) for c in CANDIDATES]
+    found = next(filter(os.path.exists, places), None)
+    if found is None:
+        raise FileNotFoundError(f"none of {', '.join(places)}")
+    if not found.lower().endswith(".zip"):
+        return found
+    if staged is None:
+        raise ValueError(f"{found} is an archive: name a folder to unpack it into")
+    return unpack_csv(found, staged)
 
 
 def write_splits(rows: DataFrame, path: str) -> None:
@@ -91,16 +99,21 @@ def write_table(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_json(path: str, value: Any) -> None:
-    """Atomic: written beside and moved into place; keys sorted."""
+def write_text(path: str, text: str) -> None:
+    """Atomic: written beside and moved into place."""
     p = Path(path)
     p.parent.mkdir(parents=True, exist_ok=True)
     fd, tmp = tempfile.mkstemp(dir=p.parent, prefix=f".{p.name}.")
     with os.fdopen(fd, "w", encoding="utf-8") as f:
-        json.dump(plain(value), f, ensure_ascii=False, indent=2, sort_keys=True)
+        f.write(text)
     os.replace(tmp, p)
 
 
+def write_json(path: str, value: Any) -> None:
+    """Atomic; keys sorted."""
+    write_text(path, json.dumps(plain(value), ensure_ascii=False, indent=2, sort_keys=True))
+
+
 def read_json(path: str) -> dict | None:
     """The object in a file; None where the file is missing, malformed or holds no object."""
     try:
