@@ -36,6 +36,7 @@ _CODE = re.compile(r"(?<![A-Za-z])[A-Za-z]*[-_/.]*\d[\w./:-]*", re.A)
 _END = re.compile(r"(?<=[.!?।॥…。？！])[\"'”’»)\]]*\s+|\s*\n\s*\n\s*|\n(?=[ \t>]*(?:\d{1,3}[.)]|[-*•–])[ \t])")
 # letters and combining marks of the scripts at hand, then anything else that is a letter
 _TOKEN = re.compile(r"[^\W\d_]+(?:[̀-ͯऀ-ॣ஁-்]+[^\W\d_]*)*")
+_LETTERS = re.compile("[a-z]+")  # the same in text without other letters
 _LIST_NO = re.compile(r"^\s*(?:>\s*)*\d{1,3}[.)]\s*$")
 
 FILLERS = frozenset(
@@ -85,7 +86,7 @@ def sentence_tokens(sentence: str) -> list[str]:
             s = _CAPITAL.sub(" ", s)
         s = fold(s)
     else:
-        s = s.lower()
+        return _LETTERS.findall(s.lower())
     return _TOKEN.findall(s)
 
 

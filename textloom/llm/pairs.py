@@ -135,6 +135,9 @@ def declines(text: str, sentences: list[str]) -> bool:
     """An answer that declines and helps with nothing: every sentence of it is a refusal or courtesy, and one is a refusal."""
     if not sentences:
         return False
+    first = sentences[0].lower()
+    if not any(x in first for x in _MAY_REFUSE) and not _COURTESY.match(_bare(first)):
+        return False
     low = text.lower()
     if not any(x in low for x in _MAY_REFUSE):
         return False
@@ -194,7 +197,7 @@ def tail_keys(w: np.ndarray) -> np.ndarray:
         return (h ^ (h >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
 
 
-_SMALL = "conversation_id string, turn long, msg_id long, role int, h long, blank boolean, refusal boolean, cut int, tail long, lang long, n int, b0 long, b1 long, b2 long, b3 long"
+_SMALL = "conversation_id string, turn long, msg_id long, role int, h long, blank boolean, refusal boolean, cut int, tail long, lang long, n int, b0 long, b1 long"
 _FEATURES = f"{_SMALL}, words binary"
 
 
@@ -278,14 +281,14 @@ def _featuriser(model: langid.Model) -> Callable:
         upto = np.cumsum(n)
         asks = np.array(cuts) == ASK
         tails = pa.array(tail_keys(w)[np.where(asks, upto - 1, 0)].view(np.int64) if len(w) else np.zeros(len(n), np.int64), mask=~asks)
-        # 256 bits, one for each word: what an answer's bits have beside its question's, the question lacks
-        bits = np.zeros((len(n), 256), np.uint8)
-        bits[np.repeat(np.arange(len(n)), n), ((w & np.uint32(_ID)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(56)).astype(np.int64)] = 1
+        # 128 bits, one for each word: what an answer's bits have beside its question's, the question lacks
+        bits = np.zeros((len(n), 128), np.uint8)
+        bits[np.repeat(np.arange(len(n)), n), ((w & np.uint32(_ID)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(57)).astype(np.int64)] = 1
         packed = np.packbits(bits, axis=1).view(np.int64)
         words_ = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(np.concatenate([[0], upto * 4]).astype(np.int32)), pa.py_buffer(w)])
         return pa.RecordBatch.from_arrays(
-            [cid, turn, msg, role.cast(pa.int32()), pa.array(hashes, pa.int64()), pa.array(blank, pa.bool_()), pa.array(refusals, pa.bool_()), pa.array(cuts, pa.int32()), tails, pa.array(langs, pa.int64()), pa.array(n.astype(np.int32)), *(pa.array(np.ascontiguousarray(packed[:, k])) for k in range(4)), words_],
-            ["conversation_id", "turn", "msg_id", "role", "h", "blank", "refusal", "cut", "tail", "lang", "n", "b0", "b1", "b2", "b3", "words"],
+            [cid, turn, msg, role.cast(pa.int32()), pa.array(hashes, pa.int64()), pa.array(blank, pa.bool_()), pa.array(refusals, pa.bool_()), pa.array(cuts, pa.int32()), tails, pa.array(langs, pa.int64()), pa.array(n.astype(np.int32)), *(pa.array(np.ascontiguousarray(packed[:, k])) for k in range(2)), words_],
+            ["conversation_id", "turn", "msg_id", "role", "h", "blank", "refusal", "cut", "tail", "lang", "n", "b0", "b1", "words"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,7 +370,7 @@ def defects(messages: DataFrame, model: langid.Model, ends: float = ENDS) -> Dat
     ev = turns.events(messages, F.col("msg_id").cast("bigint").alias("msg_id")).filter("turn IS NOT NULL")
     code = F.when(F.col("role") == "user", 0).when(F.col("role") == "assistant", 1).otherwise(2)
     f = materialize(ev.select("conversation_id", "turn", "msg_id", code.alias("role"), "content").mapInArrow(_featuriser(model), _FEATURES), "features")
-    bits = [f"b{k}" for k in range(4)]
+    bits = ["b0", "b1"]
     # deliveries of a message have equal features
     once = f.groupBy("conversation_id", "turn", "role", "h").agg(F.min("msg_id").alias("msg_id"), *(F.first(c).alias(c) for c in ("blank", "refusal", "cut", "tail", "lang", "n", *bits)))
     rows = materialize(number_runs(once), "rows")
@@ -378,16 +381,17 @@ def defects(messages: DataFrame, model: langid.Model, ends: float = ENDS) -> Dat
         F.bit_or(F.when(full, F.col("lang")).otherwise(F.lit(0).cast("bigint"))).alias("lang"), F.sum(F.when(full, F.col("n")).otherwise(0)).alias("n"),
         *(F.bit_or(F.when(full, F.col(b)).otherwise(F.lit(0).cast("bigint"))).alias(b) for b in bits),
     )
-    runs = materialize(runs, "runs")
     asked = runs.filter("role = 0 AND NOT empty").select("conversation_id", (F.col("run") + 1).alias("run"), F.col("lang").alias("q_lang"), F.col("n").alias("q_n"), *(F.col(b).alias(f"q{b}") for b in bits))
     # a word of the answer that the question lacks has a bit of its own at best
     lacks = sum((F.bit_count(F.col(b).bitwiseAND(F.bitwise_not(f"q{b}"))) for b in bits), F.lit(0))
     may_copy = (F.col("n") > 0) & (F.col("q_n") > 0) & (lacks <= F.col("n") * (1 - COPIED))
     pairs = materialize(runs.filter("role = 1").join(asked, ["conversation_id", "run"]).select("conversation_id", "run", "turn", "empty", "cut", "tail", "refusal", "lang", "q_lang", may_copy.alias("may_copy")), "pairs")
-    may = pairs.filter("may_copy").select("conversation_id", "run")
+    # tables of the few that may be copies, so that Spark knows their size and sends them to the words
+    may = materialize(pairs.filter("may_copy").select("conversation_id", "run"), "may")
     both = may.select("conversation_id", "run", F.col("run").alias("pair")).unionByName(may.select("conversation_id", (F.col("run") - 1).alias("run"), F.col("run").alias("pair")))
-    need = rows.filter(full).select("conversation_id", "run", "role", "place", "h").join(both, ["conversation_id", "run"])
-    texts = f.select("h", "words").join(need.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.first("words").alias("words"))
+    need = materialize(rows.filter(full).select("conversation_id", "run", "role", "place", "h").join(both, ["conversation_id", "run"]), "need")
+    which = materialize(need.select("h").distinct(), "which")
+    texts = f.select("h", "words").join(which, "h", "left_semi").groupBy("h").agg(F.first("words").alias("words"))
     said = need.join(texts, "h").groupBy("conversation_id", "pair", "role").agg(F.sort_array(F.collect_list(F.struct("place", F.hex("words").alias("x")))).alias("m"))
     said = said.select("conversation_id", F.col("pair").alias("run"), "role", F.unhex(F.array_join(F.transform("m", lambda v: v["x"]), "")).alias("w"))
     two = said.groupBy("conversation_id", "run").agg(F.max(F.when(F.col("role") == 0, F.col("w"))).alias("q"), F.max(F.when(F.col("role") == 1, F.col("w"))).alias("a"))
