@@ -100,3 +100,19 @@ def test_label_truncation_query_has_conversations_that_end_otherwise(spark, monk
     talks = spark.createDataFrame([("c", [("user", "a"), ("assistant", "b"), ("user", "c")])], "conversation_id string, messages array<struct<role:string,content:string>>")
     monkeypatch.setattr(reference, "_conversations", lambda s, d: talks)
     assert [(r.conversation_id, r.n_labels) for r in reference.label_truncation(spark, "").collect()] == [("c", 1)]
+
+
+def test_strict_numbers_and_nothing_left(spark):
+    kind = "msg_id long, conversation_id string, turn_index string, role string, content string, language string"
+    rows = [(1, "c", "1", "user", "a", None), (2, "c", "1.0", "user", "", None)]
+    assert chat.clean(spark.createDataFrame(rows, kind)).count() == 1
+    with pytest.raises(Exception, match="no whole number in row 2"):
+        chat.clean(spark.createDataFrame(rows, kind), strict=True).collect()
+    with pytest.raises(ValueError, match="remains"):
+        chat.clean(spark.createDataFrame([(1, "c", "1", "user", " ", None)], kind), strict=True)
+
+
+def test_generation_prompt(spark):
+    m = spark.createDataFrame([("c", [("user", "Hello"), ("assistant", "Hi")], 1), ("d", [("user", "x")], 0)], "conversation_id string, messages array<struct<role:string,content:string>>, position int")
+    got = chat.generation_sample(m, "position", 5).collect()
+    assert [(r.conversation_id, r.rendered, r.expected) for r in got] == [("c", f"{chat.OPEN}user\nHello{chat.CLOSE}{chat.OPEN}assistant\n{chat.THINK}", "Hi")]

@@ -101,3 +101,10 @@ def test_ordered_split_needs_three(spark):
     with pytest.raises(Exception, match="three"):
         splits.ordered_split(spark.createDataFrame([("a",), ("b",)], "k string"), "k").collect()
     assert splits.ordered_split(spark.createDataFrame([], "k string"), "k").count() == 0
+
+
+def test_isolation_is_required(spark):
+    rows = spark.createDataFrame([("train", "a"), ("test", "b"), ("test", "b")], "split string, conversation_id string")
+    assert splits.require_isolated(rows).count() == 3
+    with pytest.raises(ValueError, match="1 of conversation_id by train and test"):
+        splits.require_isolated(rows.union(spark.createDataFrame([("train", "b")], rows.schema)))

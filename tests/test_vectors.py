@@ -51,6 +51,33 @@ def test_index_recall(table):
     assert r.recall >= 0.9
 
 
+def test_index_on_clusters(spark):
+    """Vectors that cluster: nine tenths of the neighbours from a quarter of the lists, in blocks or not."""
+    r = np.random.default_rng(2)
+    mid = r.normal(size=(40, 16))
+    x = mid[r.integers(0, 40, 1600)] + 0.35 * r.normal(size=(1600, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "did long, v array<double>")
+    q = df.filter("did % 40 = 0").withColumnRenamed("did", "qid")
+    index = vectors.InvertedLists(df)
+    probes = index.probes_for(0.95)
+    assert len(index.centres) == 40 and probes <= 10
+    exact = vectors.knn(q, df, 10)
+    assert vectors.recall(index.search(q, 10, probes), exact).first().recall >= 0.9
+    index.blocks = 3
+    assert vectors.recall(index.search(q, 10, probes), exact).first().recall >= 0.9
+
+
+def test_timed_bundle(spark):
+    queries = spark.createDataFrame([("q000000", "a"), ("q000001", "b")], "qid string, text string")
+    corpus = spark.createDataFrame([("d000000", "a"), ("d000001", "b"), ("d000002", "c")], "did string, text string")
+    qrels = spark.createDataFrame([("q000000", "d000000"), ("q000001", "d000001")], "qid string, did string")
+    at = F.create_map(*(F.lit(v) for k, v in (("a", "1,0"), ("b", "0,1"), ("c", "-1,0")) for v in (k, v)))
+    encode = lambda df: df.select("key", F.transform(F.split(at[F.col("text")], ","), lambda x: x.cast("double")))
+    got = {r.dim: r for r in evaluate.timed((queries, corpus, qrels), encode, (2, 1), 10).collect()}
+    assert got[2].accuracy_1 == 1.0 and got[2].queries == 2 and min(got[2].encoding_seconds, got[2].search_seconds, got[2].evaluation_seconds, got[2].search_ms_per_query) > 0
+
+
 def test_metrics(spark):
     top = spark.createDataFrame([(1, 1, 10, 0.9), (1, 2, 11, 0.8), (1, 3, 12, 0.7), (2, 1, 11, 0.5), (2, 2, 10, 0.4)], "qid long, rank int, did long, score double")
     rel = spark.createDataFrame([(1, 11), (1, 12), (1, 99), (2, 77)], "qid long, did long")

@@ -11,10 +11,12 @@ ROLES = ("system", "user", "assistant")
 MASKED = -100
 
 
-def clean(messages: DataFrame, row: str = "msg_id", language: str = "language") -> DataFrame:
+def clean(messages: DataFrame, row: str = "msg_id", language: str = "language", strict: bool = False) -> DataFrame:
     """_row, conversation_id, turn_index (int; null: not whole), role, content, language; rows without id or content are left out.
 
-    Nulls read as empty texts. Extra columns are dropped; a missing one is an error that names it.
+    Nulls read as empty texts. Extra columns are dropped; a missing one is an error that names it. ``strict`` reads every
+    number first, so that one that isn't whole is an error even where its row would be left out, and so is a table of
+    which nothing remains.
     """
     need = {"conversation_id", "turn_index", "role", "content", language, row}
     if missing := sorted(need - set(messages.columns)):
@@ -29,7 +31,13 @@ def clean(messages: DataFrame, row: str = "msg_id", language: str = "language")
         T.strip(s("content")).alias("content"),
         T.label(s(language)).alias("language"),
     )
-    return x.filter("conversation_id <> '' AND content <> ''")
+    if not strict:
+        return x.filter("conversation_id <> '' AND content <> ''")
+    bad = F.raise_error(F.concat(F.lit("turn_index is no whole number in row "), F.coalesce(F.col("_row").cast("string"), F.lit("null")))).cast("boolean")
+    kept = x.filter(F.when(F.col("turn_index").isNull(), bad).otherwise((F.col("conversation_id") != "") & (F.col("content") != "")))
+    if kept.isEmpty():
+        raise ValueError("no message remains")
+    return kept
 
 
 REASONS = ("bad_turn", "bad_role", "duplicate_turn", "missing_role", "late_system")
@@ -76,7 +84,8 @@ def _json_string(c: Column) -> Column:
     short = {"\b": "\\b", "\t": "\\t", "\n": "\\n", "\f": "\\f", "\r": "\\r"}
     for k in range(0x20):
         out = F.replace(out, F.lit(chr(k)), F.lit(short.get(chr(k), f"\\u{k:04x}")))
-    return F.concat(F.lit('"'), out, F.lit('"'))
+    # most texts hold nothing to escape
+    return F.concat(F.lit('"'), F.when(c.rlike('[\\x00-\\x1f"\\\\]'), out).otherwise(c), F.lit('"'))
 
 
 def digest(messages: Column) -> Column:
@@ -95,8 +104,11 @@ def dedup(conversations: DataFrame) -> DataFrame:
 OPEN, CLOSE, THINK = "<|im_start|>", "<|im_end|>\n", "<think>\n\n</think>\n\n"
 
 
-def render(messages: Column) -> Column:
-    """struct(text, spans): the rendered conversation and the code-point spans [start, end) of the assistant contents in it."""
+def render(messages: Column, generation: bool = False) -> Column:
+    """struct(text, spans): the rendered conversation and the code-point spans [start, end) of the assistant contents in it.
+
+    ``generation`` adds the head of an assistant turn at the end, for a model to go on from.
+    """
     span = "array<struct<start:int,end:int>>"
     zero = F.struct(F.lit("").alias("text"), F.array().cast(span).alias("spans"))
 
@@ -107,7 +119,10 @@ def render(messages: Column) -> Column:
         spans = F.when(assistant, F.concat(acc["spans"], F.array(F.struct(at.alias("start"), (at + F.length(m["content"])).alias("end"))))).otherwise(acc["spans"])
         return F.struct(F.concat(head, m["content"], F.lit(CLOSE)).alias("text"), spans.cast(span).alias("spans"))
 
-    return F.aggregate(messages, zero, step)
+    done = F.aggregate(messages, zero, step)
+    if not generation:
+        return done
+    return F.struct(F.concat(done["text"], F.lit(f"{OPEN}assistant\n{THINK}")).alias("text"), done["spans"].alias("spans"))
 
 
 def code_point_tokens(text: Column) -> Column:
@@ -159,3 +174,9 @@ def prompts(conversations: DataFrame) -> DataFrame:
     x = conversations.select("conversation_id", "messages", k.alias("k")).filter(F.exists("messages", lambda x: x["role"] == "assistant"))
     before = F.when(F.col("k") > 0, F.slice("messages", 1, F.greatest(F.col("k"), F.lit(1)))).otherwise(F.slice("messages", 1, 0))
     return x.select("conversation_id", before.alias("prompt"), F.when(F.col("k") > 0, F.col("messages")[F.greatest(F.col("k") - 1, F.lit(0))]["content"]).alias("last_prompt"), F.col("messages")[F.col("k")]["content"].alias("expected"))
+
+
+def generation_sample(conversations: DataFrame, order: str, n: int) -> DataFrame:
+    """conversation_id, rendered (the prompt with the head of the answer), expected: the first ``n`` conversations with an assistant turn, in the order of a column."""
+    few = conversations.filter(F.exists("messages", lambda x: x["role"] == "assistant")).orderBy(order, "conversation_id").limit(n)
+    return prompts(few).select("conversation_id", render(F.col("prompt"), generation=True)["text"].alias("rendered"), "expected")

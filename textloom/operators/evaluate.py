@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
+import time
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
+from textloom.operators import vectors
 from textloom.session import materialize
 
 TARGETS = (0.90, 0.95, 0.98)
@@ -157,3 +159,22 @@ def choose(scores: DataFrame, min_gain: float = 0.0, protect: bool = True) -> Da
 def perplexity(loss) -> Column:
     """exp of the loss, which is cut at 20; null if it isn't finite."""
     return F.when(~F.isnan(loss) & (F.abs(loss) != float("inf")), F.exp(F.least(loss, F.lit(20.0))))
+
+
+def timed(bundle: tuple[DataFrame, DataFrame, DataFrame], encode, dims: tuple[int, ...], k: int = 100) -> DataFrame:
+    """Metrics of a bundle (queries, corpus, qrels; see ``bundle``) at each dimension, with the seconds that it took: encoding_seconds, search_seconds, evaluation_seconds, and search_ms_per_query without the encoding.
+
+    ``encode``: from (key, text) rows to (key, vector), such as ``hooks.embed`` with its model. Ids count by their digits.
+    """
+    queries, corpus, qrels = bundle
+    number = lambda c: F.substring(c, 2, 18).cast("bigint")
+    t0 = time.perf_counter()
+    q = materialize(encode(queries.select(number("qid").alias("key"), "text")).toDF("qid", "v"), "queries")
+    c = materialize(encode(corpus.select(number("did").alias("key"), "text")).toDF("did", "v"), "corpus")
+    t1 = time.perf_counter()
+    top = materialize(vectors.knn_dims(q, c, dims, k, exclude_self=False), "top")
+    t2 = time.perf_counter()
+    out = materialize(metrics(per_query(top, qrels.select(number("qid").alias("qid"), number("did").alias("did")), ("dim",)), ("dim",)), "metrics")
+    t3 = time.perf_counter()
+    per = 1000 * (t2 - t1) / max(1, q.count() * len(dims))
+    return out.withColumns({"encoding_seconds": F.lit(t1 - t0), "search_seconds": F.lit(t2 - t1), "evaluation_seconds": F.lit(t3 - t2), "search_ms_per_query": F.lit(per)})

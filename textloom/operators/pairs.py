@@ -90,3 +90,8 @@ def training_rows(prepared: DataFrame, negatives: DataFrame | None = None) -> Da
     j = prepared.join(negatives.groupBy("row_uid").agg(F.max("negative").alias("negative"), F.count("*").alias("_n")), "row_uid", "left")
     ok = F.when(F.col("_n") == 1, F.col("negative")).otherwise(F.raise_error("every pair needs exactly one negative"))
     return j.select("row_uid", pre, pos, F.concat(F.lit("passage: "), ok).alias("negative"))
+
+
+def head(rows: DataFrame, n: int, order: str = "_row") -> DataFrame:
+    """The first ``n`` rows in the order of a column (all, if there are fewer)."""
+    return rows.orderBy(order).limit(n)

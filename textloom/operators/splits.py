@@ -147,3 +147,11 @@ def ordered_split(items: DataFrame, key: str, seed: int = 42, fractions: tuple[f
 def shuffled(rows: DataFrame, seed: int = 42, key: str = "row_uid") -> DataFrame:
     """The rows in the order of a seeded hash; who is in a split doesn't change."""
     return rows.orderBy(T.sha1_seeded(F.col(key), seed), key)
+
+
+def require_isolated(rows: DataFrame, columns: tuple[str, ...] = ("conversation_id",)) -> DataFrame:
+    """``rows``, if no value of the ``columns`` stands in two splits; otherwise an error that names the splits and counts."""
+    bad = isolation(rows, columns).filter("shared > 0").collect()  # three rows a column at most
+    if bad:
+        raise ValueError("shared between splits: " + "; ".join(f"{r.shared} of {r.field} by {r.split_a} and {r.split_b}" for r in sorted(bad)))
+    return rows

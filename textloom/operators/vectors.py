@@ -79,30 +79,63 @@ def ranked(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("qid", "rank", "did", "score")
 
 
-def knn_dims(queries: DataFrame, corpus: DataFrame, dims: tuple[int, ...], k: int, exclude_self: bool = True) -> DataFrame:
-    """``knn`` at each truncated dimension that the vectors have: (dim, qid, rank, did, score)."""
-    out = None
-    for d in dims:
-        cut = lambda x, i, d=d: x.filter(F.size("v") >= d).select(i, truncate(F.col("v"), d).alias("v"))
-        one = knn(cut(queries, "qid"), cut(corpus, "did"), k, exclude_self).select(F.lit(d).alias("dim"), "qid", "rank", "did", "score")
-        out = one if out is None else out.unionByName(one)
-    return out
+def _block_tops(dims: tuple[int, ...], k: int, exclude_self: bool) -> Callable:
+    """Like ``_block_top`` at each of ``dims`` leading components, scaled to unit length; one pass over the block serves all."""
+
+    def run(q: pa.Table, c: pa.Table) -> pa.Table:
+        out = []
+        if q.num_rows and c.num_rows:
+            x, y = _matrix(q.column("v"), q.num_rows), _matrix(c.column("v"), c.num_rows)
+            for d in dims:
+                unit = lambda m, d=d: m[:, :d] / np.maximum(np.linalg.norm(m[:, :d], axis=1, keepdims=True), 1e-12)
+                listed = lambda m: pa.array(list(m))
+                got = _block_top(k, exclude_self)(pa.table({"qid": q.column("qid"), "v": listed(unit(x))}), pa.table({"did": c.column("did"), "v": listed(unit(y))}))
+                out.append(got.append_column("dim", pa.array([d] * got.num_rows, pa.int32())))
+        return pa.concat_tables(out) if out else pa.table({"qid": pa.array([], pa.int64()), "did": pa.array([], pa.int64()), "score": pa.array([], pa.float64()), "dim": pa.array([], pa.int32())})
+
+    return run
+
+
+def knn_dims(queries: DataFrame, corpus: DataFrame, dims: tuple[int, ...], k: int, exclude_self: bool = True, query_block: int = 4096, corpus_block: int = 65536) -> DataFrame:
+    """``knn`` at each truncated dimension that the vectors have: (dim, qid, rank, did, score). The corpus is moved once for all of them."""
+    from pyspark.sql import Window as W
+
+    ship(corpus.sparkSession)
+    longest = corpus.agg(F.max(F.size("v"))).first()[0] or 0
+    dims = tuple(d for d in dims if d <= longest)
+    if not dims:
+        kinds = "dim int, qid long, rank int, did long, score double"
+        return corpus.sparkSession.createDataFrame([], kinds)
+    whole = F.col("v").isNotNull() & (F.size("v") == longest)
+    q = materialize(queries.select(F.col("qid").cast("bigint"), "v").filter(whole), "queries")
+    c = materialize(corpus.select(F.col("did").cast("bigint"), "v").filter(whole), "corpus")
+    nq, nc = max(1, -(-q.count() // query_block)), max(1, -(-c.count() // corpus_block))
+    spread = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    q = q.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(nq))).withColumn("cb", spread(nc))
+    c = c.withColumn("cb", F.pmod(F.xxhash64("did"), F.lit(nc))).withColumn("qb", spread(nq))
+    part = q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInArrow(_block_tops(dims, k, exclude_self), "qid long, did long, score double, dim int")
+    w = W.partitionBy("dim", "qid").orderBy(F.desc("score"), "did")
+    return part.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("dim", "qid", "rank", "did", "score")
 
 
-SAMPLE = 20_000  # bound on the vectors that the index is fitted on
+SAMPLE, LISTS = 20_000, 4_096  # bounds on the vectors that the index is fitted on, and on its lists
 
 
 class InvertedLists:
     """Approximate search: spherical k-means on a bounded sample, every row listed under its nearest centre.
 
-    A query looks into the ``probes`` lists of the nearest centres; ``recall`` measures what that finds of the exact answer.
+    There are about as many lists as a list has rows, up to LISTS; beyond, lists are worked in blocks of ``block`` rows. A
+    query looks into the ``probes`` lists of the nearest centres; ``probes_for`` says how many a share of the exact
+    neighbours takes, and ``recall`` measures what a search found.
     """
 
-    def __init__(self, corpus: DataFrame, lists: int = 16, sample: int = SAMPLE, rounds: int = 8):
+    def __init__(self, corpus: DataFrame, lists: int | None = None, sample: int = SAMPLE, rounds: int = 8, block: int = 65_536):
         ship(corpus.sparkSession)
         self.corpus = corpus.select(F.col("did").cast("bigint"), "v").filter("v IS NOT NULL")
+        n = self.corpus.count()
+        lists = lists or max(1, min(LISTS, round(n**0.5)))
         rows = self.corpus.select("v", F.xxhash64("did").alias("h")).orderBy("h").limit(sample).collect()
-        x = np.array([r.v for r in rows], np.float64)
+        self.sample = x = np.array([r.v for r in rows], np.float64).reshape(len(rows), -1)
         centres = x[: min(lists, len(x))].copy()
         for _ in range(rounds):
             near = (x @ centres.T).argmax(axis=1)
@@ -111,6 +144,21 @@ class InvertedLists:
                     m = x[near == j].mean(axis=0)
                     centres[j] = m / max(np.linalg.norm(m), 1e-12)
         self.centres = centres
+        self.blocks = max(1, -(-n // (block * max(1, len(centres)))))
+
+    def probes_for(self, share: float, k: int = 10, queries: int = 200) -> int:
+        """Lists that a query has to look into for ``share`` of its ``k`` nearest, measured within the sample."""
+        x, c = self.sample, self.centres
+        if len(x) <= k:
+            return len(c)
+        q = x[: min(queries, len(x))]
+        s = q @ x.T
+        s[np.arange(len(q)), np.arange(len(q))] = -np.inf
+        near = np.argpartition(-s, k, axis=1)[:, :k]
+        listed = (x @ c.T).argmax(axis=1)
+        place = np.argsort(np.argsort(-(q @ c.T), axis=1), axis=1)  # of every list in a query's order
+        found = np.sort(np.take_along_axis(place, listed[near], axis=1).ravel())
+        return min(len(c), int(found[min(len(found) - 1, int(np.ceil(share * len(found))) - 1)]) + 1)
 
     def _nearest(self, n: int) -> Callable:
         centres = self.centres
@@ -126,11 +174,13 @@ class InvertedLists:
         return run
 
     def search(self, queries: DataFrame, k: int, probes: int, exclude_self: bool = True) -> DataFrame:
+        """(qid, rank, did, score): the best ``k`` of the rows in the ``probes`` nearest lists of each query."""
         kind = dict(queries.dtypes)["v"]
-        schema = f"id long, v {kind}, list long"
-        q = queries.select(F.col("qid").cast("bigint"), "v").filter("v IS NOT NULL").mapInArrow(self._nearest(min(probes, len(self.centres))), schema).withColumnRenamed("id", "qid")
-        c = self.corpus.mapInArrow(self._nearest(1), f"id long, v {dict(self.corpus.dtypes)['v']}, list long").withColumnRenamed("id", "did")
-        part = q.groupBy("list").cogroup(c.groupBy("list")).applyInArrow(_block_top(k, exclude_self), "qid long, did long, score double")
+        blocks = F.lit(self.blocks)
+        q = queries.select(F.col("qid").cast("bigint"), "v").filter("v IS NOT NULL").mapInArrow(self._nearest(min(probes, len(self.centres))), f"id long, v {kind}, list long").withColumnRenamed("id", "qid")
+        q = q.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), (blocks - 1).cast("bigint"))))
+        c = self.corpus.mapInArrow(self._nearest(1), f"id long, v {dict(self.corpus.dtypes)['v']}, list long").withColumnRenamed("id", "did").withColumn("block", F.pmod(F.xxhash64("did"), blocks).cast("bigint"))
+        part = q.groupBy("list", "block").cogroup(c.groupBy("list", "block")).applyInArrow(_block_top(k, exclude_self), "qid long, did long, score double")
         return ranked(part, k)
 
 

@@ -131,6 +131,14 @@ placed AS (
 whole AS (SELECT cid, string_agg(head || content || {CLOSE}, '' ORDER BY turn) AS text, max(turn) AS last FROM parts GROUP BY cid)"""
 
 
+CONV_SPLIT = f"""{CHAT},
+sizes AS (SELECT count(*) AS n, greatest(1, round_even(count(*) * 0.8, 0))::BIGINT AS tr, greatest(1, round_even(count(*) * 0.1, 0))::BIGINT AS va FROM uniq),
+placed2 AS (SELECT cid, row_number() OVER (ORDER BY sha256('42' || chr(0) || digest), digest) AS position FROM uniq),
+placed3 AS (
+  SELECT cid, position, CASE WHEN position <= CASE WHEN tr + va >= n THEN greatest(1, n - 2) ELSE tr END THEN 'train'
+    WHEN position <= CASE WHEN tr + va >= n THEN greatest(1, n - 2) + 1 ELSE tr + va END THEN 'validation' ELSE 'test' END AS split FROM placed2, sizes)"""
+
+
 def code_sum(c: str) -> str:
     return f"coalesce(list_sum(list_transform(regexp_extract_all({c}, '(?s).'), lambda x: unicode(x))), 0)::BIGINT"
 
@@ -267,18 +275,20 @@ FROM (SELECT pair_row, {words('query')} AS a, {words('positive')} AS b FROM pair
     "conv_messages": q(CHAT, "SELECT cid AS conversation_id, first_row, n_messages, digest FROM conv"),
     "conv_language_set": q(CHAT, "SELECT cid AS conversation_id, language FROM conv"),
     "conv_dedup": q(CHAT, "SELECT cid AS conversation_id, digest FROM uniq"),
-    "conv_split": q(
-        CHAT,
-        """, sizes AS (SELECT count(*) AS n, greatest(1, round_even(count(*) * 0.8, 0))::BIGINT AS tr, greatest(1, round_even(count(*) * 0.1, 0))::BIGINT AS va FROM uniq),
-placed2 AS (SELECT cid, row_number() OVER (ORDER BY sha256('42' || chr(0) || digest), digest) AS position FROM uniq)
-SELECT cid AS conversation_id, position, CASE WHEN position <= CASE WHEN tr + va >= n THEN greatest(1, n - 2) ELSE tr END THEN 'train'
-  WHEN position <= CASE WHEN tr + va >= n THEN greatest(1, n - 2) + 1 ELSE tr + va END THEN 'validation' ELSE 'test' END AS split FROM placed2, sizes""",
+    "conv_split": q(CONV_SPLIT, "SELECT cid AS conversation_id, position, split FROM placed3"),
+    "conv_split_checked": q(CONV_SPLIT, "SELECT split, count(*) AS conversations FROM placed3 GROUP BY split"),
+    "generation_sample": q(
+        f"""{CONV_SPLIT},
+few AS (SELECT cid FROM placed3 WHERE split = 'validation' ORDER BY position LIMIT 8),
+o AS (SELECT *, max(turn) FILTER (role = 'assistant') OVER (PARTITION BY cid) AS upto FROM parts JOIN few USING (cid))""",
+        f"""SELECT cid AS conversation_id, md5(coalesce(string_agg(head || content || {CLOSE}, '' ORDER BY turn) FILTER (turn < upto), '') || '{OPEN}assistant' || chr(10) || {THINK}) AS rendered,
+  md5(any_value(content) FILTER (turn = upto)) AS expected FROM o GROUP BY cid""",
     ),
     "conv_leakage": q(
         f"""{CHAT},
 assigned AS (SELECT DISTINCT cid, split FROM (SELECT {label('conversation_id')} AS cid, {low(label('split_name'))} AS split FROM split_assignments) WHERE split <> ''),
-whole_ones AS (SELECT split, digest FROM conv JOIN assigned USING (cid))""",
-        shared("digest", "whole_ones"),
+whole_ones AS (SELECT split, digest, cid AS conversation_id FROM conv JOIN assigned USING (cid))""",
+        shared("digest", "whole_ones") + " UNION ALL " + shared("conversation_id", "whole_ones"),
     ),
     "assistant_labels": q(LABELS, "SELECT cid AS conversation_id, n_tokens, sum_ids, n_labels, sum_labels FROM labels"),
     "label_truncation": q(
@@ -314,6 +324,8 @@ FROM cutoff JOIN seen USING (cid) WHERE seen.n > 0""",
     "hard_negatives_text": q(TEXT_MINED, "SELECT qid, did, mode, round(margin, 6) AS margin FROM mined"),
     "hard_negative_margins": q(mined(VECTORS, NEAR_ANCHORS, VEC_CORPUS, VEC_NEAR), _MARGINS),
     "hard_negative_margins_fallback": q(mined(VECTORS, LABEL_ANCHORS, VEC_CORPUS, VEC_NEAR), _MARGINS),
+    "loss_rows": q(GROUPS, "SELECT _row, row_uid FROM assigned WHERE split = 'validation' ORDER BY _row LIMIT 50"),
+    "knn_index_recall": "SELECT count(*) * least(10, (SELECT count(*) - 1 FROM embeddings)) AS exact, true AS reached FROM embeddings WHERE vec_id % 100 = 0",
     "eval_queries": q(BUNDLE, "SELECT printf('q%06d', k) AS qid, 'query: ' || query AS text FROM q WHERE k IN (SELECT k FROM rel)"),
     "eval_corpus": q(BUNDLE, "SELECT printf('d%06d', j) AS did, 'passage: ' || positive AS text, positive_norm FROM corpus"),
     "eval_qrels": q(BUNDLE, "SELECT printf('q%06d', k) AS qid, printf('d%06d', j) AS did FROM rel"),

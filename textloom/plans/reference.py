@@ -165,9 +165,28 @@ def conv_split(spark: SparkSession, d: str) -> DataFrame:
 
 
 def conv_leakage(spark: SparkSession, d: str) -> DataFrame:
-    """Whole conversations that two of today's assigned splits share, by digest."""
+    """Conversations that two of today's assigned splits share, by their content and by their id."""
     s = table(spark, d, "split_assignments").select(T.label(F.col("conversation_id")).alias("conversation_id"), F.lower(T.label(F.col("split_name"))).alias("split")).filter("split <> ''").distinct()
-    return splits.isolation(_conversations(spark, d).join(s, "conversation_id").select("split", "digest"), ("digest",))
+    return splits.isolation(_conversations(spark, d).join(s, "conversation_id").select("split", "digest", "conversation_id"), ("digest", "conversation_id"))
+
+
+def conv_split_checked(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each split of the conversation split, once no conversation or content stands in two of them."""
+    x = materialize(splits.ordered_split(chat.dedup(_conversations(spark, d)).select("conversation_id", "digest"), "digest"), "split")
+    return splits.require_isolated(x, ("conversation_id", "digest")).groupBy("split").agg(F.count("*").alias("conversations"))
+
+
+def generation_sample(spark: SparkSession, d: str) -> DataFrame:
+    """The sampling operator: the first eight held-out conversations, rendered for a model to go on from."""
+    c = chat.dedup(_conversations(spark, d))
+    s = splits.ordered_split(c.select("conversation_id", "digest"), "digest").filter("split = 'validation'").select("conversation_id", "position")
+    out = chat.generation_sample(c.join(s, "conversation_id"), "position", 8)
+    return out.select("conversation_id", F.md5(F.col("rendered").cast("binary")).alias("rendered"), F.md5(F.col("expected").cast("binary")).alias("expected"))
+
+
+def loss_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The sampling operator: the first 50 validation pairs, over which a loss is evaluated."""
+    return pairs.head(_split(spark, d).filter("split = 'validation'"), 50).select("_row", "row_uid")
 
 
 def _labelled(spark: SparkSession, d: str, longest: int | None = None) -> DataFrame:
@@ -229,9 +248,10 @@ def knn_dims(spark: SparkSession, d: str) -> DataFrame:
 
 
 def knn_index_recall(spark: SparkSession, d: str) -> DataFrame:
-    """What the approximate index finds of the exact ten nearest; 14 of 16 lists are looked into, as the vectors hardly cluster."""
+    """Whether the approximate index finds nine tenths of the exact ten nearest, with as many lists as its sample says that takes."""
     q, c = _vectors(spark, d)
-    return vectors.recall(vectors.InvertedLists(c).search(q, 10, 14), vectors.knn(q, c, 10)).select("exact", F.round("recall", 6).alias("recall"))
+    index = vectors.InvertedLists(c)
+    return vectors.recall(index.search(q, 10, index.probes_for(0.95)), vectors.knn(q, c, 10)).select("exact", (F.col("recall") >= 0.9).alias("reached"))
 
 
 def _judged(spark: SparkSession, d: str) -> DataFrame:
@@ -370,8 +390,8 @@ QUERIES = {
     for f in (
         visible_text, norm_text, nonempty_docs, sentences, run_tokens, token_jaccard, boilerplate_freq, boilerplate_top25, boilerplate_strip, boilerplate_report,
         stable_hash_sample, row_uid, exact_pair_dedup, pair_counts, training_rows, components, components_replay, component_sizes, component_split, component_cap, split_isolation,
-        conv_rejects, conv_messages, conv_language_set, conv_dedup, conv_split, conv_leakage, assistant_labels, label_truncation, collate_padding, generation_prompts,
+        conv_rejects, conv_messages, conv_language_set, conv_dedup, conv_split, conv_split_checked, conv_leakage, generation_sample, assistant_labels, label_truncation, collate_padding, generation_prompts,
         dim_truncate, knn_top10, knn_dims, knn_index_recall, ir_metrics, ir_metrics_by_dim, ir_extended, calibration, calibration_targets,
-        hard_negatives, hard_negatives_fallback, hard_negatives_text, hard_negative_margins, hard_negative_margins_fallback, eval_queries, eval_corpus, eval_qrels, select_winner, perplexity,
+        hard_negatives, hard_negatives_fallback, hard_negatives_text, hard_negative_margins, hard_negative_margins_fallback, loss_rows, eval_queries, eval_corpus, eval_qrels, select_winner, perplexity,
     )
 }
