@@ -1,3 +1,4 @@
+import pytest
 import random
 
 from textloom.functions.words import words
@@ -47,3 +48,18 @@ def test_form_is_disregarded(spark):
     got = sorted((r.doc_id, r.item_id) for r in leaks.find(docs, items).collect())
     assert got == sorted((i, k) for i in [*range(len(forms)), 11] for k in (1, 4))
     assert leaks.find(docs.limit(0), items).count() == 0 and leaks.find(docs, items.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("gap", ["<!-- " + "note " * 3000 + "-->", f'<b class="{"x" * 5000}">', f"</b><!---->", "<!-- never closed "])
+def test_long_markup_inside_a_passage(gap):
+    passage = " ".join(f"word{i}" for i in range(40))
+    text = " ".join(f"word{i}" for i in range(20)) + f" {gap} " + " ".join(f"word{i}" for i in range(20, 40))
+    found = leaks.Searcher([(1, passage)]).search(text)
+    assert found == ([] if "never" in gap else [1])
+
+
+def test_suite_in_parts(spark):
+    items = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(20)], "item_id long, passage string")
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(25)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in leaks.find(docs, items, part=6).collect()}
+    assert got == {(i, i) for i in range(20)}

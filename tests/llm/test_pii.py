@@ -89,3 +89,65 @@ def test_lexicon_is_counted_over_all_documents(spark):
     assert lex == pii.learn(rare, ["Anna", "Ravi"]) and lex.surnames == {"zorbique"} and lex.towns == {"quellmar"}
     with pytest.raises(ValueError):
         pii.fit(docs, names, most=1)
+
+
+def test_many_numbers_in_a_text(model):
+    """A pasted list of numbers stays one cluster, and takes time in proportion to its length."""
+    import time
+
+    r = __import__("random").Random(4)
+    spans = [pii.Span(12 * k, 12 * k + 10, "phone" if k % 2 else "id_number", (f"x{k % 5}",)) for k in range(100_000)]
+    t = time.perf_counter()
+    assert len(model.field.best(spans)) <= len(spans) and time.perf_counter() - t < 2
+    text = "\n".join("".join(r.choice("0123456789") for _ in range(10)) for _ in range(3000))
+    assert isinstance(model.find(text), list)
+
+
+# sentence frames that the writer of the labelled text has none of
+FRAMES = {
+    "person": ["Yesterday {} came by and left a note.", "I spoke with {} about the delay.", "{} and the rest of us agreed.", "Our landlord, {}, has the keys.", "Attached is what {} sent over.", "Invoice addressee: {}"],
+    "email": ["Forward it onwards to {} whenever you can.", "She still uses {} for work.", "Reply-To: {}", "Nothing ever arrives in {}.", "(also {})", "Both accounts share {} as a backup."],
+    "phone": ["Ring {} before six.", "The neighbour's line, {}, was busy.", "Fax: {}", "She moved, so {} is dead now.", "Dial {} and wait for the tone.", "WhatsApp {} works best"],
+    "address": ["The parcel went back to {}.", "Our new flat is {}.", "{} is where the van stopped.", "Deliver to {}", "They found the bag near {}.", "Registered office: {}"],
+}
+
+
+def test_frames_that_the_writer_lacks(model):
+    w = pii.Writer(model.lex, 99)
+    hit = want = extra = 0
+    for kind, frames in FRAMES.items():
+        for k in range(40 * len(frames)):
+            x = getattr(w, {"person": "name", "email": "email", "phone": "phone", "address": "address"}[kind])()
+            got = found(model, frames[k % len(frames)].format(x))
+            hit += (kind, x) in got
+            extra += len(got) - ((kind, x) in got)
+            want += 1
+    recall, precision = hit / want, hit / (hit + extra)
+    print(f"new frames: precision {precision:.3f}, recall {recall:.3f}")
+    assert 2 * recall * precision / (recall + precision) >= 0.8
+
+
+def test_surnames_outside_the_lexicon(model):
+    """Names whose surname the documents never show, behind a listed given name: found behind a phrase or before a stop, not in running text."""
+    w = pii.Writer(model.lex, 12)
+    given = sorted(model.lex.given)
+    rates = {}
+    for frame in ("My name is {}.", "Signed: {}", "We waited for {}.", "Yesterday {} came by and left a note."):
+        names = [f"{given[k % len(given)].capitalize()} {w.syllables(3)}" for k in range(100)]
+        rates[frame] = sum(("person", n) in found(model, frame.format(n)) for n in names) / len(names)
+    print("recall of unseen surnames:", rates)
+    assert rates["My name is {}."] >= 0.95 and rates["Signed: {}"] >= 0.9 and rates["We waited for {}."] >= 0.7
+
+
+def test_addresses_in_any_case_beside_a_strict_one(model):
+    town = sorted(model.lex.towns)[0]
+    text = f"12 Oak Street, {town.title()}\n\n14 ELM ROAD, {town.upper()}"
+    spans = {text[s.start : s.end] for s in pii.propose(text, model.lex) if s.type == "address"}
+    assert {f"12 Oak Street, {town.title()}", f"14 ELM ROAD, {town.upper()}"} <= spans
+    assert f"14 elm road, {town}" in {t[s.start : s.end] for t in (text.lower(),) for s in pii.propose(t, model.lex)}
+
+
+def test_too_many_given_names(spark, monkeypatch):
+    monkeypatch.setattr(pii, "GIVEN_MOST", 1)
+    with pytest.raises(ValueError, match="given names"):
+        pii.fit(spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([("Anna",), ("Ravi",)], "given_name string"))

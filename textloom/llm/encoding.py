@@ -1,9 +1,10 @@
 """Encoding a corpus with a public byte-level vocabulary by a global shuffle of distinct words, and decoding by its token bytes.
 
 Documents are read in blocks. A block's texts become arrays of word numbers (position kept), its distinct words one row
-each. Those rows are shuffled by word, so that every word of the corpus is encoded in one place, once; the ids go back
-to the blocks and the documents are reassembled by position. What is shuffled is one row per block and distinct word
-instead of one per word occurrence, and a frequent word has at most one row per block, so no key is hot.
+each. Of those rows the distinct words of the corpus are shuffled and encoded, each once; the ids are joined back to the
+blocks by word and the documents are reassembled by position. What is joined is one row per block and distinct word
+instead of one per word occurrence; words are combined before the first shuffle, and in the join a frequent word, which
+has a row in every block, has a single row on the other side, so that its rows can be split over tasks.
 """
 
 from __future__ import annotations
@@ -55,20 +56,12 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _word_encoder(ranks: bytes) -> Callable:
+    """(word) to (word, ids)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(block, code, word) to (block, code, ids); a word seen again in this partition isn't encoded again."""
         enc = vocab.encoding(ranks).encode_ordinary
-        known: dict[str, bytes] = {}
         for b in batches:
-            ids = []
-            for w in b.column(2).to_pylist():
-                x = known.get(w)
-                if x is None:
-                    if len(known) > 1_000_000:
-                        known.clear()
-                    x = known[w] = np.array(enc(w), np.int32).tobytes()
-                ids.append(x)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary())], ["block", "code", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([np.array(enc(w), np.int32).tobytes() for w in b.column(0).to_pylist()], pa.binary())], ["word", "ids"])
 
     return run
 
@@ -107,9 +100,12 @@ def encode(documents: DataFrame, name: str = "byte_bpe_50k", folder: str = vocab
     empty = docs.filter("coalesce(text, '') = ''").select("doc_id", F.expr("CAST(array() AS array<int>)").alias("ids"))
     split = materialize(docs.filter("text <> ''").mapInArrow(_blocks, _SPLIT), "words")
     ranks = vocab.read_ranks(name, folder)
-    words = split.filter("code IS NOT NULL").select("block", "code", "word").repartition("word").mapInArrow(_word_encoder(ranks), "block string, code int, ids binary")
+    words = split.filter("code IS NOT NULL").select("block", "code", "word")
+    # each word of the corpus once; a frequent one meets its row by a join whose other side Spark can split
+    encoded = words.select("word").distinct().mapInArrow(_word_encoder(ranks), "word string, ids binary")
+    words = words.join(encoded, "word").select(F.col("block").alias("b"), "code", "ids")
     texts = split.filter("codes IS NOT NULL").select("block", "doc_id", "codes")
-    done = texts.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(_reassemble, "doc_id long, ids array<int>")
+    done = texts.groupBy("block").cogroup(words.groupBy("b")).applyInArrow(_reassemble, "doc_id long, ids array<int>")
     return done.unionByName(empty)
 
 

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import html
 import re
+import uuid
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,17 +24,27 @@ from textloom.functions.words import words
 from textloom.session import ship
 
 RUN, REPLACED = 24, 2
-_INLINE = re.compile(r"</?(?:a|abbr|b|bdi|bdo|cite|code|em|font|i|ins|kbd|mark|q|s|small|span|strong|sub|sup|tt|u|var|wbr)(?:\s[^<>]{0,300})?/?>", re.I)
-_TAG = re.compile(r"</?[A-Za-z][A-Za-z0-9-]{0,30}(?:\s[^<>]{0,2000})?/?>|<!--.{0,2000}?-->", re.S)
+PART = 200_000  # passages of a suite that are searched for in one pass over the documents
+_INLINE = re.compile(r"</?(?:a|abbr|b|bdi|bdo|cite|code|em|font|i|ins|kbd|mark|q|s|small|span|strong|sub|sup|tt|u|var|wbr)(?:\s[^<>]*)?/?>", re.I)
+_TAG = re.compile(r"</?[A-Za-z][A-Za-z0-9-]*(?:\s[^<>]*)?/?>")
 _EMPHASIS = re.compile(r"[*_~`]+")
 _BROKEN = re.compile(r"(?<=[^\W\d_])[-‐]\s*\n(?:[ \t]*>)*\s*(?=[^\W\d_])")
-_LINK = re.compile(r"\[([^\[\]]{1,400})\]\([^()\s]{1,400}\)")
+_LINK = re.compile(r"\[([^\[\]]+)\]\([^()\s]+\)")
+
+
+def _uncommented(text: str) -> str:
+    """The text without <!-- comments -->, however long; one that is never closed is text."""
+    parts, at = [], 0
+    while (a := text.find("<!--", at)) >= 0 and (b := text.find("-->", a + 4)) >= 0:
+        parts += [text[at:a], " "]
+        at = b + 3
+    return "".join(parts) + text[at:] if parts else text
 
 
 def plain(text: str) -> str:
-    """The text without markup: tags, entities, link targets, emphasis, words broken at a line's end."""
+    """The text without markup: comments, tags, entities, link targets, emphasis, words broken at a line's end."""
     if "<" in text:
-        text = _TAG.sub(" ", _INLINE.sub("", text))
+        text = _TAG.sub(" ", _INLINE.sub("", _uncommented(text)))
     if "&" in text:
         text = html.unescape(text)
     if "](" in text:
@@ -109,14 +120,15 @@ class Searcher:
         return sorted({self.items[k] for k in found})
 
 
-@lru_cache(maxsize=2)
-def _searcher(items: tuple[tuple[int, str], ...]) -> Searcher:
-    return Searcher(list(items))
+_searchers: dict[str, Searcher] = {}  # of this worker, by the mark of their suite
 
 
-def _scan(items: tuple[tuple[int, str], ...]) -> Callable:
+def _scan(mark: str, suite: Broadcast) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = _searcher(items)
+        s = _searchers.get(mark)
+        if s is None:
+            _searchers.clear()
+            s = _searchers[mark] = Searcher(suite.value)
         for b in batches:
             docs, got = [], []
             for d, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -129,16 +141,21 @@ def _scan(items: tuple[tuple[int, str], ...]) -> Callable:
     return run
 
 
-def find(documents: DataFrame, items: DataFrame, most_items: int = 200_000) -> DataFrame:
+def find(documents: DataFrame, items: DataFrame, part: int = PART) -> DataFrame:
     """(doc_id, item_id): each document of (doc_id, text) with each item of (item_id, passage) that leaks into it, once a row of the document.
 
-    One pass over the documents, no shuffle. The items are the held-out suite: its tables travel with the function, so a
-    suite of more than ``most_items`` passages is refused. Null and empty texts and passages never match; of repeated
-    items each id is reported.
+    One pass over the documents, no shuffle, with the tables of the held-out suite broadcast. A suite of more than ``part``
+    passages is searched for in parts of about that many, a pass each, so what is broadcast has a bound. Null and empty
+    texts and passages never match; of repeated items each id is reported.
     """
-    ship(documents.sparkSession)
-    rows = items.select(F.col("item_id").cast("bigint"), F.col("passage").cast("string")).dropna().distinct().limit(most_items + 1).collect()
-    if len(rows) > most_items:
-        raise ValueError(f"more than {most_items} evaluation passages")
-    suite = tuple(sorted((r.item_id, r.passage) for r in rows))
-    return documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(_scan(suite), "doc_id long, item_id long")
+    spark = documents.sparkSession
+    ship(spark)
+    suite = items.select(F.col("item_id").cast("bigint"), F.col("passage").cast("string")).dropna().distinct()
+    parts = max(1, -(-suite.count() // part))
+    docs = documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    out = None
+    for k in range(parts):
+        rows = sorted((r.item_id, r.passage) for r in suite.filter(F.pmod(F.xxhash64("item_id", "passage"), F.lit(parts)) == k).collect())
+        one = docs.mapInArrow(_scan(uuid.uuid4().hex, spark.sparkContext.broadcast(rows)), "doc_id long, item_id long")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -4,7 +4,7 @@ Segments of bounded length that could be an email address, a phone number, an id
 person's name are proposed with all their plausible boundaries. Whole-span features (shape, length, lexicon, the words on
 either side) score each; a dynamic program over non-overlapping segments chooses boundaries and types together. The
 weights are the maximum of the conditional likelihood on labelled text that a generator writes; surnames and towns, for
-which no list is given, are learned from a bounded sample of the documents.
+which no list is given, are counted over all documents.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from textloom.session import ship
 
 TYPES = ("email", "phone", "id_number", "address", "person")
+GIVEN_MOST = 100_000  # bound on the given names that every task holds
 LEXICON_MOST = 1_000_000  # bound on the surnames and towns that every task holds (about 100 MB)
 
 # ---------------------------------------------------------------- proposals
@@ -100,7 +102,7 @@ def _lexicon(given: list[str], surnames: list[str], towns: list[str]) -> Lexicon
     return Lexicon(frozenset(g), frozenset(s), frozenset(t.lower() for t in towns), common(x[:4] for x in g), common(x[-3:] for x in g), common(x[:4] for x in s), common(x[-4:] for x in s))
 
 
-# Words that announce a kind of information, or the number of something that is no person's (fixed values)
+# Words that announce a kind of information, or the number of something that is no person's
 _CUES = {
     "phone": r"tel\b|phone|call|text|mobile|cell|fax|whatsapp|reach|number is|answers at|contact|erreichen|telefon|handy|rufnummer|anruf|tel[eé]fono|m[oó]vil|llam|t[eé]l[eé]phone|num[eé]ro est|portable|appel|தொலைபேசி|கைபேசி|அழை|फ़ोन|फोन|मोबाइल|नंबर",
     "id": r"social|ssn|aadhaa?r|\bpan\b|passport|passeport|pasaporte|reisepass|pass(?:nummer|-nr)|ausweis|personal(?:ausweis|-id)|\bdni\b|\bnie\b|\bnif\b|national id|identity|identi(?:dad|t[eé])|\bid (?:no|number|card)|driving licen|licen[cs]e no|voter|tax (?:id|no)|steuer|s[eé]curit[eé] sociale|insurance number|ஆதார்|பாஸ்போர்ட்|கடவுச்சீட்டு|आधार|पासपोर्ट|पैन",
@@ -230,14 +232,16 @@ def _addresses(text: str, lex: Lexicon) -> Iterator[Span]:
 
 
 def _addresses_in(text: str, lo: int, hi: int, lex: Lexicon) -> Iterator[Span]:
+    """Addresses as they are written, and in any case where none of the first kind lies."""
     seen: set[tuple[int, int]] = set()
+    taken: list[tuple[int, int]] = []
     for strict, patterns in ((True, _ADDRESS), (False, _LOWER_ADDRESS)):
-        if not strict and seen:
-            break
+        firm = list(taken)
         for k, p in enumerate(patterns):
             for m in p.finditer(text, lo, hi):
-                if "\n\n" in m[0]:
+                if "\n\n" in m[0] or any(m.start() < e and b < m.end() for b, e in firm):
                     continue
+                taken.append(m.span())
                 town, t0 = m["town"], m.start("town")
                 words = list(_WORD.finditer(town))
                 for n in range(1, len(words) + 1):
@@ -328,11 +332,11 @@ def _persons(text: str, low: str, lex: Lexicon) -> Iterator[Span]:
             yield Span(a, b, "person", tuple(f))
 
 
-# phrases after which a name is expected (fixed values)
+# phrases after which a name is expected
 _NAME_CUES = ("my name is", "mein name ist", "me llamo", "mi nombre es", "je m'appelle", "je m’appelle", "mon nom est", "என் பெயர்", "என் name", "मेरा नाम", "this is", "ask for", "belongs to", "reported by", "best regards,", "kind regards,")
 _NAME_CUE = re.compile(rf"(?i:{'|'.join(_NAME_CUES)})\s")
 _NAME_CUE_END = re.compile(_NAME_CUE.pattern + r"*$")
-# words that are no part of a name (fixed values)
+# words that are no part of a name
 _NO_NAME = frozenset("the a an and or of in on at to for from by with is was are please user assistant you i we it at the desk team inbox street road lane board plan then open after before first next last week my your our order ticket form login என் எனது எங்கள் मेरा मेरी मेरे हूँ है में का ஆகும் தான் und der die das el la los le les des et y mail".split())
 
 
@@ -376,26 +380,32 @@ class Field:
         return f"t:{a.type}>{b.type}" if b.start - a.end <= NEAR else None
 
     def best(self, group: list[Span]) -> list[Span]:
-        """The highest-scoring set of segments without overlap."""
-        order = sorted(range(len(group)), key=lambda k: (group[k].end, group[k].start))
-        top: dict[int, tuple[float, int | None]] = {}
-        for pos, k in enumerate(order):
-            s = group[k]
-            found: tuple[float, int | None] = (0.0, None)
-            for j in order[:pos]:
-                if group[j].end <= s.start:
-                    name = self.link(group[j], s)
-                    v = top[j][0] + (self.weights.get(name, 0.0) if name else 0.0)
-                    if v > found[0]:
-                        found = (v, j)
-            top[k] = (found[0] + self.score(s), found[1])
-        k = max(top, key=lambda x: top[x][0])
-        if top[k][0] <= 0:
+        """The highest-scoring set of segments without overlap.
+
+        Segments are taken by their end. Of those that end before NEAR characters in front of a segment only the best
+        counts, which a running maximum knows; the few that end within NEAR are looked at one by one.
+        """
+        order = sorted(group, key=lambda s: (s.end, s.start))
+        ends = [s.end for s in order]
+        top: list[tuple[float, int]] = []  # value of the best chain that ends with a segment, and the segment before it (-1: none)
+        upto: list[int] = []  # the best chain's last segment among those up to here
+        for k, s in enumerate(order):
+            lo, hi = bisect_left(ends, s.start - NEAR, 0, k), bisect_right(ends, s.start, 0, k)
+            value, before = 0.0, -1
+            if lo and top[upto[lo - 1]][0] > value:
+                value, before = top[upto[lo - 1]][0], upto[lo - 1]
+            for j in range(lo, hi):
+                v = top[j][0] + self.weights.get(self.link(order[j], s) or "", 0.0)
+                if v > value:
+                    value, before = v, j
+            top.append((value + self.score(s), before))
+            upto.append(k if not upto or top[k][0] > top[upto[-1]][0] else upto[-1])
+        at = upto[-1]
+        if top[at][0] <= 0:
             return []
         out = []
-        at: int | None = k
-        while at is not None:
-            out.append(group[at])
+        while at >= 0:
+            out.append(order[at])
             at = top[at][1]
         return out[::-1]
 
@@ -668,7 +678,9 @@ def fit(documents: DataFrame, known_names: DataFrame, most: int = LEXICON_MOST)
     Surnames and towns are counted over every document; a lexicon of more than ``most`` entries is refused, not cut.
     """
     ship(documents.sparkSession)
-    given = sorted(r[0] for r in known_names.select("given_name").dropna().distinct().limit(100_000).collect())
+    given = sorted(r[0] for r in known_names.select("given_name").dropna().distinct().limit(GIVEN_MOST + 1).collect())
+    if len(given) > GIVEN_MOST:
+        raise ValueError(f"more than {GIVEN_MOST} given names: too many to send to every task")
     found = documents.filter("text <> ''").select(F.col("text").cast("string")).mapInArrow(_counter(given), "kind string, found string, n long")
     rows = found.groupBy("kind", "found").agg(F.sum("n").alias("n")).filter("n > 1").limit(most + 1).collect()
     if len(rows) > most:
