@@ -218,6 +218,7 @@ def train(samples: list[tuple[str, str]], alpha: float = 1.0, l1: float = 0.002,
     index = {g: i for i, g in enumerate(sorted(g for g, c in df.items() if c > 1 or g[0] == "\x02"))}
     idf = np.ones(len(index))
     for g, i in index.items():
+        # shares of n-grams are small; the factor brings inputs to the order of one, for which the learning rate is meant
         idf[i] = 1.0 if g[0] == "\x02" else 5.0 * math.log((1 + len(docs)) / (1 + df[g])) + 1.0
     data = [(*_vector(p, index, idf), classes.index(lang)) for p, lang, _ in docs]
 
