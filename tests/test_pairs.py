@@ -46,3 +46,18 @@ def test_training_rows_need_one_negative(spark):
     assert {r.negative for r in pairs.training_rows(p, neg).collect()} == {"passage: n"}
     with pytest.raises(Exception, match="exactly one negative"):
         pairs.training_rows(p, neg.limit(1)).collect()
+
+
+def test_one_negative_each(spark):
+    import pytest
+
+    p = spark.createDataFrame([("a", "q", "p"), ("b", "q2", "p2")], "row_uid string, query string, positive string")
+    neg = lambda *rows: spark.createDataFrame(list(rows), "row_uid string, negative string")
+    got = {r.row_uid: r.negative for r in pairs.training_rows(p, neg(("a", "x"), ("b", "y"))).collect()}
+    assert got == {"a": "passage: x", "b": "passage: y"}
+    for rows, bad in ((p, neg(("a", "x"))), (p, neg(("a", "x"), ("a", "x"), ("b", "y"))), (p, neg(("a", None), ("b", "y"))), (p.union(p), neg(("a", "x"), ("b", "y")))):
+        with pytest.raises(Exception, match="exactly one negative|pairs: not one row"):
+            pairs.training_rows(rows, bad).collect()
+    rows = spark.createDataFrame([(1, "a", "b"), (1, "c", "b"), (2, "b", "a")], "batch int, anchor string, positive string")
+    assert [tuple(r) for r in pairs.repeats_in_batches(rows, "batch").collect()] == [(1, "b", 2)]
+    assert [r._row for r in pairs.head(spark.createDataFrame([(3,), (1,), (2,)], "_row long"), 2).collect()] == [1, 2]

@@ -71,7 +71,10 @@ def test_json(tmp_path):
 
 def test_file_digests(spark, tmp_path):
     (tmp_path / "f").write_bytes(b"abc")
-    assert files.file_digests(spark, str(tmp_path / "f")).first().sha256.startswith("ba7816bf")
+    (tmp_path / "long name").write_bytes(b"x" * (3 << 20))
+    got = {os.path.basename(r.path): (r.length, r.sha256) for r in files.file_digests(spark, str(tmp_path)).collect()}
+    assert got["f"][1].startswith("ba7816bf") and len(got) == 2
+    assert [n for n, h in got.values() if h == __import__("hashlib").sha256(b"x" * (3 << 20)).hexdigest()] == [3 << 20]
 
 
 def test_settings(tmp_path):

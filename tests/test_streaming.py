@@ -1,4 +1,7 @@
-from textloom.streaming import ingest
+import logging
+import time
+
+from textloom.streaming import ingest, progress
 
 SCHEMA = "msg_id long, conversation_id string, turn_index string, role string, content string, received_at timestamp"
 
@@ -17,3 +20,22 @@ def test_first_deliveries(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out")).collect()
     assert sorted((r.conversation_id, r.turn, r.role, r.content) for r in got if r.turn) == [("c", 1, "user", "a"), ("c", 2, "assistant", "b")]
     assert len(got) == 3
+
+
+def test_progress_and_stop(spark, tmp_path, caplog):
+    log, stopped = logging.getLogger("textloom.stream-test"), []
+    watch = progress.Progress(log, every=1, check=lambda: True, stop=lambda: stopped.append(1))
+    spark.streams.addListener(watch)
+    try:
+        spark.range(5).write.parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("id long").parquet(str(tmp_path / "in"))
+        with caplog.at_level(logging.INFO, log.name):
+            stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+            for _ in range(50):
+                if watch.rows == 5 and "ended" in caplog.text:
+                    break
+                time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(watch)
+    assert watch.rows == 5 and stopped and "started" in caplog.text and "ended" in caplog.text
+    assert not progress.memory_is_low(".", 0.0)

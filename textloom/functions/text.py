@@ -70,6 +70,12 @@ def run_token(c: Column, longest: int = 80) -> Column:
     return F.substring(safe, 1, longest)
 
 
+def run_label(c: Column, longest: int = 48) -> Column:
+    """A label for a run's name: like ``run_token``, shorter, and null where nothing is left."""
+    token = run_token(c, longest)
+    return F.when(token != "", token)
+
+
 def common_prefix_length(a: Column, b: Column) -> Column:
     """Number of leading array elements that are equal."""
     n = F.least(F.size(a), F.size(b))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
@@ -81,15 +82,31 @@ def counts(raw: DataFrame, nonempty: DataFrame, prepared: DataFrame) -> DataFram
     return one(a).join(one(b), "_one").join(one(c), "_one").select("original_rows", "nonempty_rows", "rows_after_dedup", (F.col("nonempty_rows") - F.col("rows_after_dedup")).alias("exact_pairs_removed"), "unique_queries", "unique_passages")
 
 
+def _one_each(rows: DataFrame, key: str, what: str) -> DataFrame:
+    """``rows``, where a key that is null or stands twice is an error."""
+    n = F.count("*").over(W.partitionBy(key))
+    bad = F.raise_error(F.concat(F.lit(f"{what}: not one row for "), F.coalesce(F.col(key).cast("string"), F.lit("null")))).cast("boolean")
+    return rows.withColumn("_n", n).filter(F.when(F.col(key).isNull() | (F.col("_n") > 1), bad).otherwise(True)).drop("_n")
+
+
 def training_rows(prepared: DataFrame, negatives: DataFrame | None = None) -> DataFrame:
-    """(anchor, positive[, negative]) with the prefixes that retrieval encoders expect. ``negatives`` (row_uid, negative) must have one row for every pair."""
+    """(row_uid, anchor, positive[, negative]) with the prefixes that retrieval encoders expect.
+
+    ``negatives`` (row_uid, negative) must have one row for every pair, and every pair one row_uid; anything else is an error.
+    """
     pre: Column = F.concat(F.lit("query: "), "query").alias("anchor")
     pos = F.concat(F.lit("passage: "), "positive").alias("positive")
     if negatives is None:
         return prepared.select("row_uid", pre, pos)
-    j = prepared.join(negatives.groupBy("row_uid").agg(F.max("negative").alias("negative"), F.count("*").alias("_n")), "row_uid", "left")
-    ok = F.when(F.col("_n") == 1, F.col("negative")).otherwise(F.raise_error("every pair needs exactly one negative"))
-    return j.select("row_uid", pre, pos, F.concat(F.lit("passage: "), ok).alias("negative"))
+    j = _one_each(prepared, "row_uid", "pairs").join(_one_each(negatives.select("row_uid", "negative"), "row_uid", "every pair needs exactly one negative"), "row_uid", "left")
+    some = F.when(F.col("negative").isNotNull(), F.col("negative")).otherwise(F.raise_error(F.concat(F.lit("every pair needs exactly one negative: none for "), F.col("row_uid"))))
+    return j.select("row_uid", pre, pos, F.concat(F.lit("passage: "), some).alias("negative"))
+
+
+def repeats_in_batches(rows: DataFrame, batch: str, columns: tuple[str, ...] = ("anchor", "positive")) -> DataFrame:
+    """(batch, text, times): texts that stand more than once in a batch, in any of the ``columns``; with in-batch negatives there may be none."""
+    each = rows.select(batch, F.explode(F.array(*columns)).alias("text"))
+    return each.groupBy(batch, "text").agg(F.count("*").alias("times")).filter("times > 1")
 
 
 def head(rows: DataFrame, n: int, order: str = "_row") -> DataFrame:

@@ -24,7 +24,7 @@ def components(prepared: DataFrame, mode: str = "canonical") -> DataFrame:
     """``prepared`` with ``component``: pairs that share a query or a passage, along chains, have the same one.
 
     The id hashes the group's root label: the least label ("canonical", independent of partitioning), or the root that
-    union by size reaches when the pairs are taken in _row order ("replay"; groups are independent, each is replayed on its own).
+    union by size reaches when the pairs are taken in _row order ("replay"; groups are independent, each is replayed on its own, over 48 bytes a pair).
     Texts are handled as hashes; only the least label of a group is carried whole.
     """
     if mode not in ("canonical", "replay"):
@@ -35,7 +35,10 @@ def components(prepared: DataFrame, mode: str = "canonical") -> DataFrame:
     x = x.join(members.select(F.col("node").alias("_u"), F.col("root").alias("_root")), "_u")
     if mode == "replay":
         ship(prepared.sparkSession)
-        roots = x.select("_root", "_row", q.alias("q"), p.alias("p")).groupBy("_root").applyInPandas(_replay, "_root string, label string")
+        # only hashes are gathered; the label's text is fetched by its hash
+        order = x.select("_root", "_row", "_u", "_v").groupBy("_root").applyInPandas(_replay, "_root string, _label string")
+        ends = x.select("_root", F.explode(F.array(F.struct(F.col("_u").alias("_label"), q.alias("label")), F.struct(F.col("_v").alias("_label"), p.alias("label")))).alias("e")).select("_root", "e.*")
+        roots = ends.join(order, ["_root", "_label"]).groupBy("_root").agg(F.min("label").alias("label"))
     else:
         roots = x.groupBy("_root").agg(F.least(F.min(q), F.min(p)).alias("label"))
     ids = roots.select("_root", F.substring(T.sha1_seeded(F.col("label")), 1, 20).alias("component"))
@@ -43,24 +46,26 @@ def components(prepared: DataFrame, mode: str = "canonical") -> DataFrame:
 
 
 def _replay(pdf: pd.DataFrame) -> pd.DataFrame:
-    parent: dict[str, str] = {}
-    size: dict[str, int] = {}
+    """Union by size over the hashed pairs of one group in _row order: the root that it reaches."""
+    pdf = pdf.sort_values("_row")
+    codes, names = pd.factorize(pd.concat([pdf["_u"], pdf["_v"]], ignore_index=True))
+    n = len(pdf)
+    parent, size = list(range(len(names))), [1] * len(names)
 
-    def top(x: str) -> str:
-        parent.setdefault(x, x)
-        size.setdefault(x, 1)
+    def top(x: int) -> int:
         while parent[x] != x:
+            parent[x] = parent[parent[x]]
             x = parent[x]
         return x
 
-    for a, b in pdf.sort_values("_row")[["q", "p"]].itertuples(index=False):
+    for a, b in zip(codes[:n].tolist(), codes[n:].tolist(), strict=True):
         big, small = top(a), top(b)
         if big != small:
             if size[big] < size[small]:
                 big, small = small, big
             parent[small] = big
             size[big] += size[small]
-    return pd.DataFrame({"_root": [pdf["_root"].iloc[0]], "label": [top(pdf["q"].iloc[0])]})
+    return pd.DataFrame({"_root": [pdf["_root"].iloc[0]], "_label": [names[top(int(codes[0]))]]})
 
 
 def sizes(rows: DataFrame) -> DataFrame:

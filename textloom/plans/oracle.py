@@ -251,7 +251,7 @@ SQL = {
     "norm_text": f"SELECT doc_id, coalesce(length({low(vis('text'))}), 0) AS n_chars, md5({low(vis('text'))}) AS digest FROM documents",
     "nonempty_docs": f"SELECT doc_id, source FROM documents WHERE coalesce({vis('text')}, '') <> ''",
     "sentences": f"SELECT doc_id, generate_subscripts(s, 1) - 1 AS pos, md5(unnest(s)) AS digest FROM (SELECT doc_id, {sents('text')} AS s FROM documents)",
-    "run_tokens": "SELECT msg_id, substr(regexp_replace(regexp_replace(conversation_id, '[^A-Za-z0-9._-]+', '-', 'g'), '^[-._]+|[-._]+$', '', 'g'), 1, 80) AS token FROM messages",
+    "run_tokens": "SELECT msg_id, substr(t, 1, 80) AS token, nullif(substr(t, 1, 48), '') AS label FROM (SELECT msg_id, regexp_replace(regexp_replace(conversation_id, '[^A-Za-z0-9._-]+', '-', 'g'), '^[-._]+|[-._]+$', '', 'g') AS t FROM messages)",
     "token_jaccard": f"""SELECT pair_row, round(CASE WHEN len(a) > 0 AND len(b) > 0 THEN len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) ELSE 0 END, 9) AS jaccard
 FROM (SELECT pair_row, {words('query')} AS a, {words('positive')} AS b FROM pairs)""",
     "boilerplate_freq": q(PAIRS, "SELECT sentence, rows FROM freq"),
@@ -266,6 +266,16 @@ FROM (SELECT pair_row, {words('query')} AS a, {words('positive')} AS b FROM pair
         "SELECT (SELECT count(*) FROM pairs) AS original_rows, (SELECT count(*) FROM nonempty) AS nonempty_rows, count(*) AS rows_after_dedup, (SELECT count(*) FROM nonempty) - count(*) AS exact_pairs_removed, count(DISTINCT query_norm) AS unique_queries, count(DISTINCT positive_norm) AS unique_passages FROM prepared",
     ),
     "training_rows": q(PAIRS, "SELECT row_uid, 'query: ' || query AS anchor, 'passage: ' || positive AS positive FROM prepared"),
+    "training_triplets": q(
+        TEXT_MINED,
+        """, passage AS (SELECT min(_row) AS did, arg_min(positive, _row) AS negative FROM grouped GROUP BY positive_norm)
+SELECT row_uid, md5('query: ' || query || chr(30) || 'passage: ' || positive || chr(30) || 'passage: ' || negative) AS digest FROM mined JOIN grouped ON _row = qid JOIN passage USING (did)""",
+    ),
+    "batch_repeats": q(
+        PAIRS,
+        """, t AS (SELECT substr(row_uid, 1, 1) AS batch, unnest(['query: ' || query, 'passage: ' || positive]) AS text FROM prepared)
+SELECT batch, text, count(*) AS times FROM t GROUP BY ALL HAVING count(*) > 1""",
+    ),
     "components": q(GROUPS, "SELECT _row, component FROM grouped"),
     "component_sizes": q(GROUPS, "SELECT component, size FROM size"),
     "component_split": q(GROUPS, "SELECT component, size, split FROM dealt"),

@@ -41,7 +41,8 @@ def sentences(spark: SparkSession, d: str) -> DataFrame:
 
 
 def run_tokens(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "messages").select("msg_id", T.run_token(F.col("conversation_id")).alias("token"))
+    c = F.col("conversation_id")
+    return table(spark, d, "messages").select("msg_id", T.run_token(c).alias("token"), T.run_label(c).alias("label"))
 
 
 def token_jaccard(spark: SparkSession, d: str) -> DataFrame:
@@ -107,6 +108,22 @@ def training_rows(spark: SparkSession, d: str) -> DataFrame:
     return pairs.training_rows(_prepared(spark, d))
 
 
+def training_triplets(spark: SparkSession, d: str) -> DataFrame:
+    """Training rows with their mined negative, one for each pair whose texts have letters from a to z."""
+    g = _grouped(spark, d)
+    mined = materialize(_mine_text(spark, d), "mined")
+    passage = g.groupBy("positive_norm").agg(F.min("_row").alias("did"), F.min_by("positive", "_row").alias("negative"))
+    negatives = mined.join(g.select(F.col("_row").alias("qid"), "row_uid"), "qid").join(passage, "did").select("row_uid", "negative")
+    rows = pairs.training_rows(g.join(mined.select(F.col("qid").alias("_row")), "_row", "left_semi"), negatives)
+    return rows.select("row_uid", F.md5(F.concat_ws("\x1e", "anchor", "positive", "negative").cast("binary")).alias("digest"))
+
+
+def batch_repeats(spark: SparkSession, d: str) -> DataFrame:
+    """Texts that stand twice in a batch, with batches by the first hex digit of row_uid."""
+    rows = pairs.training_rows(_prepared(spark, d)).withColumn("batch", F.substring("row_uid", 1, 1))
+    return pairs.repeats_in_batches(rows, "batch")
+
+
 def components(spark: SparkSession, d: str) -> DataFrame:
     return _grouped(spark, d).select("_row", "component")
 
@@ -389,7 +406,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         visible_text, norm_text, nonempty_docs, sentences, run_tokens, token_jaccard, boilerplate_freq, boilerplate_top25, boilerplate_strip, boilerplate_report,
-        stable_hash_sample, row_uid, exact_pair_dedup, pair_counts, training_rows, components, components_replay, component_sizes, component_split, component_cap, split_isolation,
+        stable_hash_sample, row_uid, exact_pair_dedup, pair_counts, training_rows, training_triplets, batch_repeats, components, components_replay, component_sizes, component_split, component_cap, split_isolation,
         conv_rejects, conv_messages, conv_language_set, conv_dedup, conv_split, conv_split_checked, conv_leakage, generation_sample, assistant_labels, label_truncation, collate_padding, generation_prompts,
         dim_truncate, knn_top10, knn_dims, knn_index_recall, ir_metrics, ir_metrics_by_dim, ir_extended, calibration, calibration_targets,
         hard_negatives, hard_negatives_fallback, hard_negatives_text, hard_negative_margins, hard_negative_margins_fallback, loss_rows, eval_queries, eval_corpus, eval_qrels, select_winner, perplexity,

@@ -10,7 +10,9 @@ import tempfile
 import zipfile
 from pathlib import Path
 from typing import Any
+from urllib.parse import unquote, urlparse
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -139,5 +141,23 @@ def fingerprint(value: Any) -> str:
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, sha256) of files, hashed on the executors."""
-    return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    """(path, length, sha256) of files, hashed on the executors.
+
+    Files on a mounted folder are read in pieces of 1 MiB, so they may be of any size; those of another file system are
+    read whole by Spark, which has a limit of 2 GB a file.
+    """
+
+    def digest(batches):
+        for b in batches:
+            out = []
+            for p in b.column(0).to_pylist():
+                h = hashlib.sha256()
+                with open(unquote(urlparse(p).path), "rb") as f:
+                    while piece := f.read(1 << 20):
+                        h.update(piece)
+                out.append(h.hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string())], ["path", "length", "sha256"])
+
+    found = spark.read.format("binaryFile").load(path)
+    mounted = found.filter("path LIKE 'file:%'").select("path", "length").mapInArrow(digest, "path string, length long, sha256 string")
+    return mounted.unionByName(found.filter("path NOT LIKE 'file:%'").select("path", "length", F.sha2("content", 256).alias("sha256")))
