@@ -52,7 +52,7 @@ stripped AS (
   FROM nonempty n LEFT JOIN kept USING (_row)),
 reported AS (SELECT *, CASE WHEN positive <> positive_original THEN lost ELSE 0 END AS removed FROM stripped),
 normed AS (SELECT *, {low("query")} AS query_norm, {low(vis("positive"))} AS positive_norm FROM stripped),
-prepared AS (
+prepared AS MATERIALIZED (
   SELECT *, sha1('0' || chr(0) || query_norm || chr(0) || positive_norm) AS row_uid
   FROM normed QUALIFY row_number() OVER (PARTITION BY query_norm, positive_norm ORDER BY _row) = 1)"""
 
@@ -60,7 +60,7 @@ GROUPS = f"""{PAIRS},
 edge AS (SELECT 'q:' || query_norm AS u, 'p:' || positive_norm AS v FROM prepared UNION SELECT 'p:' || positive_norm, 'q:' || query_norm FROM prepared),
 reach AS (SELECT u AS node, u AS label FROM edge UNION SELECT e.v, r.label FROM reach r JOIN edge e ON e.u = r.node),
 root AS (SELECT node, substr(sha1('0' || chr(0) || min(label)), 1, 20) AS component FROM reach GROUP BY node),
-grouped AS (SELECT p.*, component FROM prepared p JOIN root ON node = 'q:' || query_norm),
+grouped AS MATERIALIZED (SELECT p.*, component FROM prepared p JOIN root ON node = 'q:' || query_norm),
 size AS (SELECT component, count(*) AS size, sha1('42' || chr(0) || component) AS h FROM grouped GROUP BY component),
 ranked AS (SELECT *, row_number() OVER (ORDER BY h, component) AS k, sum(size) OVER () AS total FROM size),
 fold AS (
@@ -198,9 +198,11 @@ def mined(ctes: str, anchors: str, corpus: str, candidates: str, guard: str = "t
 anchors AS ({anchors}),
 corpus AS ({corpus}),
 cand AS ({candidates}),
+open_ AS MATERIALIZED (
+  SELECT a.qid, n.did, n.score, n.rank FROM anchors a JOIN cand n ON n.qid = a.qid AND n.rank <= 16 JOIN corpus c ON c.did = n.did
+  WHERE n.did <> a.pos_id AND c.component <> a.component AND n.score <= a.pos_score - 0.02),
 hard AS (
-  SELECT a.qid, n.did, n.score FROM anchors a JOIN cand n ON n.qid = a.qid AND n.rank <= 16 JOIN corpus c ON c.did = n.did
-  WHERE n.did <> a.pos_id AND c.component <> a.component AND n.score <= a.pos_score - 0.02 AND {guard} QUALIFY row_number() OVER (PARTITION BY a.qid ORDER BY n.rank) = 1),
+  SELECT n.qid, n.did, n.score FROM open_ n JOIN anchors a USING (qid) JOIN corpus c ON c.did = n.did WHERE {guard} QUALIFY row_number() OVER (PARTITION BY n.qid ORDER BY n.rank) = 1),
 ring AS (SELECT did, component, v, row_number() OVER (ORDER BY sha1('42' || chr(0) || did), did) - 1 AS place FROM corpus),
 draw AS (
   SELECT a.*, j, (('0x' || substr(sha1('42' || chr(0) || a.qid || chr(0) || j), 1, 12))::BIGINT % (SELECT count(*) FROM ring)) AS start
@@ -225,8 +227,8 @@ _unit = lambda c: f"list_transform({_letters(c)}, lambda x: x / sqrt(list_dot_pr
 _some = lambda c: f"list_sum({_letters(c)}) > 0"
 TEXT_MINED = mined(
     f"""{GROUPS},
-passages AS (SELECT min(_row) AS did, positive_norm AS norm, component, {_unit("positive_norm")} AS v FROM grouped WHERE {_some("positive_norm")} GROUP BY positive_norm, component),
-asked AS (SELECT g._row AS qid, g.component, p.did AS pos_id, p.norm AS pos_norm, {_unit("query_norm")} AS v, p.v AS w FROM grouped g JOIN passages p ON p.norm = g.positive_norm WHERE {_some("query_norm")})""",
+passages AS MATERIALIZED (SELECT min(_row) AS did, positive_norm AS norm, component, {_unit("positive_norm")} AS v FROM grouped WHERE {_some("positive_norm")} GROUP BY positive_norm, component),
+asked AS MATERIALIZED (SELECT g._row AS qid, g.component, p.did AS pos_id, p.norm AS pos_norm, {_unit("query_norm")} AS v, p.v AS w FROM grouped g JOIN passages p ON p.norm = g.positive_norm WHERE {_some("query_norm")})""",
     "SELECT qid, component, pos_id, pos_norm, v, round(list_dot_product(v, w), 6) AS pos_score FROM asked",
     "SELECT did, component, v, norm FROM passages",
     """SELECT a.qid, p.did, round(list_dot_product(a.v, p.v), 6) AS score, row_number() OVER (PARTITION BY a.qid ORDER BY round(list_dot_product(a.v, p.v), 6) DESC, p.did) AS rank FROM asked a, passages p""",

@@ -268,7 +268,7 @@ def knn_index_recall(spark: SparkSession, d: str) -> DataFrame:
     """Whether the approximate index finds nine tenths of the exact ten nearest, with as many lists as its sample says that takes."""
     q, c = _vectors(spark, d)
     index = vectors.InvertedLists(c)
-    return vectors.recall(index.search(q, 10, index.probes_for(0.95)), vectors.knn(q, c, 10)).select("exact", (F.col("recall") >= 0.9).alias("reached"))
+    return vectors.recall(index.search(q, 10, index.probes_for(0.99)), vectors.knn(q, c, 10)).select("exact", (F.col("recall") >= 0.9).alias("reached"))
 
 
 def _judged(spark: SparkSession, d: str) -> DataFrame:
@@ -332,7 +332,7 @@ def _letters(norm: Column) -> Column:
     """A stand-in for an encoder: the letters a to z of a text, counted and scaled to unit length."""
     n = [(F.length(norm) - F.length(F.replace(norm, F.lit(x), F.lit("")))).cast("double") for x in "abcdefghijklmnopqrstuvwxyz"]
     length = F.sqrt(sum((c * c for c in n), F.lit(0.0)))
-    return F.when(length > 0, F.transform(F.array(*n), lambda c: c / length))
+    return F.when(length > 0, F.array(*(c / length for c in n)))
 
 
 def _mine_text(spark: SparkSession, d: str) -> DataFrame:
