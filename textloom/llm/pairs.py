@@ -33,6 +33,7 @@ COPIED = 0.8  # share of an answer's words that stand in the question, said once
 ENDS = 0.15  # share of the places of three words at which a sentence must end
 SLOT_BITS = 22  # the map of the endings that are asked for has 2 ** SLOT_BITS bits, however many there are
 ROWS = 2_500  # rows that a task turns into features at a time
+SENTENCES = 20_000  # sentences that a task remembers, about 15 MB
 
 # Declining, in words without accents or punctuation
 _REFUSAL = re.compile(
@@ -234,33 +235,40 @@ def _featuriser(model: langid.Model) -> Callable:
     short = [c.split("-")[0] for c in model.classes]
     bit = {c: 1 << k for k, c in enumerate(sorted({*short, *_ASKED}))}  # a language is a bit: there are under 63 of them
 
-    def features(b: pa.RecordBatch, number: _Numbers) -> pa.RecordBatch:
+    def features(b: pa.RecordBatch, number: _Numbers, known: dict[str, tuple[str | None, int, list[int], bool]]) -> pa.RecordBatch:
         cid, turn, msg, role, content = (b.column(k) for k in range(5))
         roles = role.to_pylist()
         texts = content.to_pylist()
         blank = [langid.is_filler(t) for t in texts]
         # what other roles say is neither judged nor compared
         split = [[] if e or r > 1 else langid.split_sentences(t) for e, r, t in zip(blank, roles, texts, strict=True)]
-        toks = [[langid.sentence_tokens(s) for s in ss] for ss in split]
+        # a sentence that was met before is not read again: its language, tokens, numbers, and whether it has its terminator
+        if len(known) > SENTENCES:
+            known.clear()
+        fresh = {s: langid.sentence_tokens(s) for ss in split for s in ss if s not in known}
         # sentences of more than one letter have a language
-        flat = [t for ts in toks for t in ts if len(t) > 1 or (t and len(t[0]) > 1)]
+        flat = [t for t in fresh.values() if len(t) > 1 or (t and len(t[0]) > 1)]
         label = iter(model.predict(flat)[0].tolist()) if flat else iter(())
+        for s, tok in fresh.items():
+            lang = short[next(label)] if len(tok) > 1 or (tok and len(tok[0]) > 1) else None
+            x = number.of(tok)
+            if x:
+                x[0] |= _START
+            known[s] = lang, len(tok), x, _complete(s)
         hashes, refusals, cuts, langs, lens = [], [], [], [], []
         every: list[int] = []
-        for t, r, e, ss, ts in zip(texts, roles, blank, split, toks, strict=True):
+        for t, r, e, ss in zip(texts, roles, blank, split, strict=True):
             weight: dict[str, int] = {}
             before = len(every)
-            for k, (s, tok) in enumerate(zip(ss, ts, strict=True)):
-                if len(tok) > 1 or (tok and len(tok[0]) > 1):
-                    lang = short[next(label)]
-                    weight[lang] = weight.get(lang, 0) + len(tok)
-                x = number.of(tok)
+            for k, s in enumerate(ss):
+                lang, size, x, complete = known[s]
+                if lang is not None:
+                    weight[lang] = weight.get(lang, 0) + size
                 if x:
-                    # a sentence with its terminator, or a list item that another one follows
-                    if _complete(s) or (k + 1 < len(ss) and _ITEM.match(s)):
-                        x[-1] |= _END
-                    x[0] |= _START
                     every += x
+                    # a sentence with its terminator, or a list item that another one follows
+                    if complete or (k + 1 < len(ss) and _ITEM.match(s)):
+                        every[-1] |= _END
             lens.append(len(every) - before)
             mask = 0
             if r == 0 and not e:  # what a question uses or asks for
@@ -292,10 +300,10 @@ def _featuriser(model: langid.Model) -> Callable:
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = _Numbers()
+        number, known = _Numbers(), {}
         for b in batches:
             for at in range(0, b.num_rows, ROWS):
-                yield features(b.slice(at, ROWS), number)
+                yield features(b.slice(at, ROWS), number, known)
 
     return run
 
