@@ -60,3 +60,19 @@ def test_everyday_wording_is_bounded(spark, samples):
     m = langid.fit(clean, extra, per_stratum=20)
     k, _ = m.predict([["leave", "out", "links"]])
     assert m.classes[k[0]] == "en"
+
+
+def test_company_settles_what_looks_foreign():
+    """A short English wording that a model of clean samples takes for French, in texts whose labels name any language."""
+    t = pq.read_table(f"{DATA}/lang_samples.parquet").to_pandas()
+    clean = list(zip(t.lang_code, t.sample_text, strict=True))
+    first = langid.train(clean)
+    odd = "Keep answers patient."
+    lead = ("You answer questions about the desk.", "Reply in the language of the question.", "Number the steps when there are several.")
+    rows = [(lang, f"{lead[k % 3]} {odd} {lead[(k + 1) % 3]}") for k, lang in enumerate(["es", "de", "fr", "hi", "ta", "en", "es", "de", "hi"])] + [("fr", odd)]
+    taught = langid.agreeing(first, rows)
+    assert {lang for lang, s in taught if s == odd} <= {"en"} and all(lang == "en" for lang, s in taught if s in lead)
+    model = langid._trained(clean, sorted(rows))
+    tokens = langid.sentence_tokens(odd)
+    assert model.classes[model.predict([tokens])[0][0]] == "en"
+    assert langid.agreeing(first, []) == [] and langid.agreeing(first, [("xx", odd), ("en", None), ("en", "")]) == []

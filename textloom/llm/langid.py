@@ -300,18 +300,45 @@ def segments(model: Model, texts: list[str | None], doubtful: float = 0.5) -> li
     return out
 
 
-def agreeing(model: Model, labelled: list[tuple[str, str]], sure: float = 0.95) -> list[tuple[str, str]]:
-    """Of (label, text) rows with doubtful labels the sentences that may teach: the whole text reads as its label, and the sentence isn't surely in another language."""
-    out = []
+def agreeing(model: Model, labelled: list[tuple[str, str]], sure: float = 0.95, least: int = 5, share: float = 0.8) -> list[tuple[str, str]]:
+    """Of (label, text) rows with doubtful labels the sentences that may teach.
+
+    The whole text reads as its label, and the sentence isn't surely in another language. Where the same sentence stands
+    under several labels, two thirds of its rows must have this one. And what a sentence keeps company with overrules both
+    model and label: one that stands in ``least`` texts or more, whose other sentences read as one language in ``share`` of
+    them, teaches that language. So a short wording that looks foreign to a model of clean samples is put right by the
+    texts that it is always found in.
+    """
+    Key = tuple[str, ...]  # noqa: N806
+    taught: list[tuple[str, str, Key]] = []
+    votes: Counter[Key] = Counter()
+    mine: Counter[tuple[str, Key]] = Counter()
+    company: dict[Key, Counter[str]] = {}
+    shown: dict[Key, str] = {}
     for lang, text in labelled:
         parts = [(s, t) for s in split_sentences(text or "") if (t := sentence_tokens(s))]
         if not parts or lang not in model.classes:
             continue
-        k, _ = model.predict([[t for _, p in parts for t in p], *(p for _, p in parts)])
-        _, conf = model.predict([p for _, p in parts])
+        rest = [[x for j, (_, p) in enumerate(parts) if j != i for x in p] for i in range(len(parts))] if len(parts) > 1 else []
+        k, conf = model.predict([[t for _, p in parts for t in p], *(p for _, p in parts), *rest])
+        n = len(parts)
+        for (s, t), c in zip(parts, k[n + 1 :], strict=False):
+            company.setdefault(tuple(t), Counter())[model.classes[c]] += 1
+            shown[tuple(t)] = s
         if model.classes[k[0]] == lang:
-            out += [(lang, s) for (s, _), c, q in zip(parts, k[1:], conf, strict=True) if model.classes[c] == lang or q < sure]
-    return out
+            for (s, t), c, q in zip(parts, k[1 : n + 1], conf[1 : n + 1], strict=True):
+                if model.classes[c] == lang or q < sure:
+                    taught.append((lang, s, tuple(t)))
+                    votes[tuple(t)] += 1
+                    mine[lang, tuple(t)] += 1
+    settled: dict[Key, str] = {}
+    for t, c in company.items():
+        lang, n = c.most_common(1)[0]
+        if c.total() >= least and n >= share * c.total():
+            settled[t] = lang
+    out = [(lang, s) for lang, s, t in taught if 3 * mine[lang, t] >= 2 * votes[t] and settled.get(t, lang) == lang]
+    # those that the model and the labels alone would not have taught right
+    return out + [(lang, shown[t]) for t, lang in settled.items() if not mine[lang, t] for _ in range(company[t][lang])]
 
 
 _fitted: dict[str, Model] = {}  # the last models of this process, by the rows they were fitted on

@@ -129,10 +129,11 @@ def p6_isolation(spark: SparkSession, d: str) -> DataFrame:
     x = materialize(p6_splits(spark, d), "splits")
     g = x.groupBy("root").agg(F.count("*").alias("size"), F.countDistinct("split").alias("splits"))
     share = F.create_map(*(F.lit(v) for kv in FRACTIONS.items() for v in kv))
-    total = g.agg(F.sum("size").alias("conversations"), F.count("*").alias("groups"), F.count_if(F.col("splits") > 1).alias("divided"), F.max("size").alias("largest"))
-    off = x.groupBy("split").agg(F.count("*").alias("n")).crossJoin(total.select("conversations", "largest"))  # three rows and one
-    met = off.agg(F.bool_and(F.abs(F.col("n") - share[F.col("split")] * F.col("conversations")) <= F.greatest(F.col("largest"), F.col("conversations") / 100)).alias("shares_met"))
-    return total.crossJoin(met).select("conversations", "groups", "divided", "shares_met")
+    one = F.lit(1).alias("one")
+    total = g.agg(one, F.sum("size").alias("conversations"), F.count("*").alias("groups"), F.count_if(F.col("splits") > 1).alias("divided"), F.max("size").alias("largest"))
+    off = x.groupBy("split").agg(one, F.count("*").alias("n")).join(total.select("one", "conversations", "largest"), "one")  # three rows and one
+    met = off.agg(one, F.bool_and(F.abs(F.col("n") - share[F.col("split")] * F.col("conversations")) <= F.greatest(F.col("largest"), F.col("conversations") / 100)).alias("shares_met"))
+    return total.join(met, "one").select("conversations", "groups", "divided", "shares_met")
 
 
 def language_model(spark: SparkSession, d: str) -> langid.Model:
