@@ -672,6 +672,9 @@ def _counter(given: list[str]):
     return run
 
 
+_fields: dict[tuple, Field] = {}  # the last fields of this process, by the lexicon that their text was written with
+
+
 def fit(documents: DataFrame, known_names: DataFrame, most: int = LEXICON_MOST) -> Model:
     """Model from all documents and the table of given names, which is small by nature.
 
@@ -686,7 +689,12 @@ def fit(documents: DataFrame, known_names: DataFrame, most: int = LEXICON_MOST)
     if len(rows) > most:
         raise ValueError(f"more than {most} surnames and towns: too many to send to every task")
     lex = _seen_twice(given, ((r.kind, r.found, r.n) for r in rows))
-    return Model(lex, Field().fit(labelled_text(lex)))
+    mark = (lex.given, lex.surnames, lex.towns)
+    if mark not in _fields:
+        while len(_fields) >= 4:
+            _fields.pop(next(iter(_fields)))
+        _fields[mark] = Field().fit(labelled_text(lex))
+    return Model(lex, _fields[mark])
 
 
 def _finder(model: Model):
