@@ -1,6 +1,8 @@
 import itertools
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 
 from textloom.functions.words import lcs_length, words
@@ -127,3 +129,41 @@ def test_spans_are_maximal():
 def test_large_class_in_cells(spark, monkeypatch):
     monkeypatch.setattr(overlap, "CELL", 8)
     test_many_near_copies_keep_all_links(spark)
+
+
+def test_pairs_in_a_crowd_of_the_same_words(spark):
+    """Thirty pairs to a topic, all of one topic of the same words in other orders, edited so that no run of five is left: every pair is found, and no other."""
+    r = random.Random(12)
+    rows = []
+    for k in range(180):
+        t = [f"w{i}" for i in range(60)] + [f"topic{k // 30}x{i}" for i in range(12)]
+        r.shuffle(t)
+        new = lambda: f"w{r.randrange(60)}"
+        if k % 2:
+            u = [new() if i % 5 == 4 else w for i, w in enumerate(t)]
+        else:  # extra words, at different places of either side
+            core = t
+            t = [x for i, w in enumerate(core) for x in ((w, new()) if i % 4 == 1 else (w,))]
+            u = [x for i, w in enumerate(core) for x in ((w, new()) if i % 4 == 3 else (w,))]
+        rows += [(f"t{k}", 1, " ".join(t)), (f"h{k}", 2, " ".join(u))]
+    got = {(x.id_a, x.id_b) for x in overlap.cross_split_pairs(spark.createDataFrame(rows, "id string, side int, text string")).collect()}
+    assert got == {(f"h{k}", f"t{k}") for k in range(180)}
+
+
+@pytest.mark.parametrize("n", [3, 60, 130, 400])
+def test_bits_rule_out_no_pair(n):
+    """Texts of lengths about ``n``, whose bits may have different widths: whatever shares enough words stays."""
+    r = random.Random(n)
+    sides = [[], []]
+    for k in range(160):
+        t = [r.randrange(2 * n) for _ in range(n + k % max(2, n // 4))]
+        for side in sides:
+            side.append([r.randrange(2 * n) if r.random() < 0.08 else w for w in t if r.random() < 0.97])
+    train, held = (sorted((np.array(t, np.uint32) for t in side if t), key=len) for side in sides)
+    bits = [overlap._matrices(overlap._bits([t.tobytes() for t in side])) for side in (train, held)]
+    width = min(x.shape[1] for side in bits for x in side)
+    x, y = (overlap._folded(side, width) for side in bits)
+    lens = [np.array([len(t) for t in side]) for side in (train, held)]
+    got = {(int(j), int(i)) for a, b in overlap._possible(lens[0], np.ascontiguousarray(x.T), lens[1], y) for i, j in zip(a, b, strict=True)}
+    want = {(j, i) for (j, t), (i, u) in itertools.product(enumerate(train), enumerate(held)) if 5 * (Counter(t.tolist()) & Counter(u.tolist())).total() >= 4 * max(len(t), len(u))}
+    assert want and want <= got and len(got) < len(train) * len(held) / 4

@@ -8,7 +8,6 @@ from __future__ import annotations
 import re
 import unicodedata
 
-import numpy as np
 import xxhash
 
 # letters, numbers and the marks that belong to them; \w in re lacks combining marks
@@ -68,19 +67,6 @@ class WordIds:
         return out
 
 
-def window_hashes(ids: np.ndarray, k: int) -> np.ndarray:
-    """Hash of every run of ``k`` successive numbers, by its first position; the result is k - 1 shorter."""
-    n = len(ids) - k + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    with np.errstate(over="ignore"):
-        out = np.zeros(n, np.uint64)
-        for j in range(k):
-            out = (out ^ ids[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
-            out ^= out >> np.uint64(29)
-    return out
-
-
 def lcs_length(a: list[int], b: list[int]) -> int:
     """Length of the longest common subsequence, bit-parallel over big integers."""
     if len(a) < len(b):

@@ -1,14 +1,12 @@
-"""Same or near-same records across splits: one sorted array of suffixes over all records, in range partitions.
+"""Same or near-same records across splits: every training text against every held-out text of a length that allows it.
 
-The array holds two kinds of suffixes. Text suffixes start at positions that the words themselves choose, so both sides
-of a shared passage choose the same ones, and are sorted by the hashes of their next 8, 16 and 32 words. They find
-passages that were left whole. Word orders find pairs that were edited all over: each of TREES random orders, in which
-words come the earlier the rarer they are, lists a record's words, and the beginning of that list is sorted in the same
-way, by its first 3, 4 and 5 words. Only words that stand on both sides count there, so a word that an edit brought in
-is no obstacle. Neighbours from different splits become candidates: at most two a suffix, however many share a beginning.
+Two texts that share SHARE of the words of both in the same order share them in any order too, so what either has and the
+other lacks is bounded by their lengths. A text's bits say of each of some 2 n buckets whether its words fall into it an
+odd number of times. A bucket in which two texts differ takes a word that one of them lacks, so counting those buckets
+rules out most pairs and never one that counts. An exact longest common subsequence decides the rest.
 
-A sketch of each record rules out most candidates, and an exact longest common subsequence decides. Equal texts are
-folded before any of it, and classes of near copies are completed by comparing their members in blocks.
+Equal texts are folded before any of it. Lengths fall into bands of a factor 1.25, of which only neighbours meet, and
+bands into cells of a bounded size; a pair meets in one cell.
 """
 
 from __future__ import annotations
@@ -22,19 +20,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.words import WordIds, lcs_length, window_hashes, words
+from textloom.functions.words import WordIds, lcs_length, words
 from textloom.operators import turns
 from textloom.operators.forest import spanning_forest
 from textloom.session import materialize, release, ship
 
 SHARE = 0.8  # of the words of both
-PER_RECORD = 8  # text suffixes that a record contributes on average
-TREES, DEPTH, LEAST = 28, 5, 3  # word orders, words of each that are sorted by, and words that candidates share
-SLOT_BITS = 22  # the table of word frequencies has 2 ** SLOT_BITS bytes, whatever the vocabulary
-BINS = 128  # values of a sketch
+LEAST_BITS = 256  # of a text; longer ones have the power of two from twice their words on
 SPAN = 4  # words of a shared span
-CELL = 256  # members of a class on either side that one group compares
-_END = 32
+CELL = 1 << 19  # members of a cell on either side, of 512 bits each; fewer of longer ones
+BAND = 1.2500001  # texts of neighbouring bands at most: a shade over 1 / SHARE, so rounding puts no pair further apart
 
 
 def _joined(ws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -50,24 +45,26 @@ def _mix(x: np.ndarray, c) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
-def _sketch(ws: list[bytes]) -> list[bytes]:
-    """Of each record the least hash of its words in each of BINS bins, four bits of it, and which bins are empty; a word's second occurrence is another word."""
-    pairs, _ = _joined(ws)
-    i = np.arange(len(pairs))
-    start = np.concatenate([[True], pairs[1:] != pairs[:-1]]) if len(pairs) else np.zeros(0, bool)
-    times = i - np.maximum.accumulate(np.where(start, i, 0))
-    h = _mix(pairs & np.uint64(0xFFFFFFFF), times.astype(np.uint64))
-    cell = (pairs >> np.uint64(32)).astype(np.int64) * BINS + (h & np.uint64(BINS - 1)).astype(np.int64)
-    least = np.full(len(ws) * BINS, 2**32, np.int64)
-    np.minimum.at(least, cell, (h >> np.uint64(32)).astype(np.int64))
-    least = least.reshape(len(ws), BINS)
-    nibble = (least & 15).astype(np.uint8)
-    packed = np.concatenate([nibble[:, ::2] << 4 | nibble[:, 1::2], np.packbits(least == 2**32, axis=1)], axis=1)
-    return [bytes(x) for x in packed]
+def _bits(ws: list[bytes]) -> list[bytes]:
+    """Of each record a bit per bucket: whether an odd number of its words fall into it; a word's second occurrence is another word."""
+    out = []
+    for at in range(0, len(ws), 1000):
+        pairs, lens = _joined(ws[at : at + 1000])
+        i = np.arange(len(pairs))
+        start = np.concatenate([[True], pairs[1:] != pairs[:-1]]) if len(pairs) else np.zeros(0, bool)
+        times = i - np.maximum.accumulate(np.where(start, i, 0))
+        width = np.array([max(LEAST_BITS, 1 << int(2 * n - 1).bit_length()) for n in lens.tolist()], np.int64)
+        end = np.cumsum(width)
+        h = _mix(pairs & np.uint64(0xFFFFFFFF), times.astype(np.uint64)).view(np.int64)
+        row = np.repeat(np.arange(len(lens)), lens)
+        odd = np.bincount((h & (width - 1)[row]) + (end - width)[row], minlength=int(end[-1])) & 1
+        packed = np.packbits(odd.astype(np.uint8)).tobytes()
+        out += [packed[(e - w) // 8 : e // 8] for e, w in zip(end.tolist(), width.tolist(), strict=True)]
+    return out
 
 
 def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, side, text) to (id, side, fp, n, w, sketch): w holds the words as 32-bit numbers."""
+    """(id, side, text) to (id, side, fp, n, w, bits): w holds the words as 32-bit numbers."""
     known = WordIds()
     for b in batches:
         cols: list[list] = [[], [], [], [], []]
@@ -78,194 +75,100 @@ def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for c, v in zip(cols, (i, side, xxhash.xxh128_digest(w.tobytes()), len(ids), w.astype(np.uint32).tobytes()), strict=True):
                     c.append(v)
         kinds = (pa.string(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([*cols, _sketch(cols[4])], kinds, strict=True)], ["id", "side", "fp", "n", "w", "sketch"])
-
-
-def _slots(words_: np.ndarray) -> np.ndarray:
-    return (words_ >> np.uint64(32 - SLOT_BITS)).astype(np.int64)
-
-
-def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(side, w) to (slot, train, held): records of either side that hold a word of the slot."""
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([*cols, _bits(cols[4])], kinds, strict=True)], ["id", "side", "fp", "n", "w", "bits"])
+
+
+def _folded(bits: list[np.ndarray], width: int) -> np.ndarray:
+    """The rows of all matrices with ``width`` numbers each: halves laid over each other have the bits of half as many buckets."""
+    out = []
+    for x in bits:
+        while x.shape[1] > width:
+            x = x[:, : x.shape[1] // 2] ^ x[:, x.shape[1] // 2 :]
+        out.append(x)
+    return np.concatenate(out)
+
+
+def _matrices(rows: list[bytes]) -> list[np.ndarray]:
+    """Bits of successive rows as 64-bit numbers, a matrix for every run of equal widths."""
+    size = np.array([len(r) for r in rows])
+    cut = [0, *(np.flatnonzero(size[1:] != size[:-1]) + 1).tolist(), len(rows)]
+    return [np.frombuffer(b"".join(rows[i:j]), np.uint64).reshape(j - i, -1) for i, j in zip(cut, cut[1:], strict=False)]
+
+
+def _possible(n: np.ndarray, bits: np.ndarray, m: np.ndarray, other: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) of the held-out texts (m, other) and the training texts (n, bits; a column each) that may share SHARE of the words of both; n and m rise."""
+    n, m = n.astype(np.int32), m.astype(np.int32)
+    need, need2 = (4 * n + 4) // 5, (4 * m + 4) // 5  # SHARE of the words, rounded up
+    half = max(1, len(bits) // 2)
+    kind = np.uint16 if len(bits) < 1024 else np.uint32
+    for at in range(0, len(m), 16):  # tiles that stay in the processor's cache
+        k, y = m[at : at + 16], other[at : at + 16]
+        lo, hi = np.searchsorted(n, need2[at]), np.searchsorted(n, k[-1] * 5 // 4, "right")
+        for a in range(lo, hi, 4096):
+            b = min(hi, a + 4096)
+            apart = np.zeros((len(k), b - a), kind)
+            for c in range(half):
+                apart += np.bitwise_count(bits[c, a:b] ^ y[:, c, None])
+            # words that either may have and the other lack
+            spare = n[a:b] + k[:, None] - 2 * np.maximum(need[a:b], need2[at : at + 16, None])
+            i, j = np.nonzero(apart <= spare)
+            if len(i) and half < len(bits):
+                rest = np.bitwise_count(bits[half:, a + j] ^ y[i, half:].T).sum(axis=0, dtype=np.int64)
+                ok = apart[i, j] + rest <= spare[i, j]
+                i, j = i[ok], j[ok]
+            if len(i):
+                yield i + at, j + a
+
+
+def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cell, side, key, n, bits) by cell, side and n to the (key, key2) of each cell's training and held-out texts that may be alike."""
+    cell, train = None, []
+    table = None  # of the training texts of the cell: key, n, matrices
     for b in batches:
-        if b.num_rows:
-            side = b.column(0).to_numpy()
-            pairs, _ = _joined(b.column(1).to_pylist())
-            pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])]
-            slot, of = _slots(pairs & np.uint64(0xFFFFFFFF)), side[(pairs >> np.uint64(32)).astype(np.int64)]
-            n = [np.bincount(slot[(of & bit) > 0], minlength=1 << SLOT_BITS) for bit in (1, 2)]
-            some = np.flatnonzero(n[0] + n[1])
-            yield pa.RecordBatch.from_arrays([pa.array(some), *(pa.array(x[some]) for x in n)], ["slot", "train", "held"])
-
-
-def word_weights(texts: DataFrame) -> np.ndarray:
-    """A byte per slot of the word table: how rare its words are, 0 for those that stand on one side only."""
-    counts = texts.select("side", "w").mapInArrow(_slot_counts, "slot long, train long, held long").groupBy("slot").agg(F.sum("train").alias("train"), F.sum("held").alias("held"))
-    total = texts.count()
-    rarity = F.log2(F.lit(total + 1.0) / (F.col("train") + F.col("held"))) * 6
-    got = counts.filter("train > 0 AND held > 0").select("slot", F.least(F.lit(255), F.greatest(F.lit(1), rarity.cast("int"))).cast("short").alias("weight")).toArrow()
-    out = np.zeros(1 << SLOT_BITS, np.uint8)  # bounded by its definition
-    out[got.column("slot").to_numpy()] = got.column("weight").to_numpy()
-    return out
-
-
-_TREE = np.random.default_rng(20).integers(2**63, 2**64, TREES, np.uint64) | np.uint64(1)  # odd factors of a multiply-shift hash
-
+        cells, sides, keys, ns = (b.column(k).to_numpy() for k in range(4))
+        cut = np.flatnonzero((cells[1:] != cells[:-1]) | (sides[1:] != sides[:-1])) + 1
+        for i, j in zip([0, *cut.tolist()], [*cut.tolist(), b.num_rows], strict=True):
+            if i == j:
+                continue
+            if cells[i] != cell:
+                cell, train, table = cells[i], [], None
+            here = (keys[i:j], ns[i:j], _matrices(b.column(4).slice(i, j - i).to_pylist()))
+            if sides[i] == 1:
+                train.append(here)
+                continue
+            if not train:
+                continue
+            width = min(x.shape[1] for x in here[2])
+            if table is None or table[2].shape[0] > width:
+                width = min([width, *(x.shape[1] for t in train for x in t[2])])
+                table = (np.concatenate([t[0] for t in train]), np.concatenate([t[1] for t in train]), np.ascontiguousarray(_folded([x for t in train for x in t[2]], width).T))
+            for x, y in _possible(table[1], table[2], here[1], _folded(here[2], table[2].shape[0])):
+                key, key2 = table[0][y], here[0][x]
+                other = pa.array(key != key2)
+                yield pa.RecordBatch.from_arrays([pa.array(key).filter(other), pa.array(key2).filter(other)], ["key", "key2"])
 
-def _orders(ws: list[bytes], weights: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(record, sort keys): a row for every record and word order, where the record has LEAST words or more that stand on both sides.
 
-    A word's place in an order is -log(u) / weight for a hash u of the word, so the rare come early, and every record
-    that holds the word gives it the same place. Only words that are among the first DEPTH or so are looked at closely.
-    """
-    pairs, _ = _joined(ws)
-    if len(pairs):
-        pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])]
-    word = pairs & np.uint64(0xFFFFFFFF)
-    wt = weights[_slots(word)]
-    live = wt > 0
-    word, wt, row = word[live], wt[live].astype(np.float64), (pairs[live] >> np.uint64(32)).astype(np.int64)
-    total = np.bincount(row, weights=wt, minlength=len(ws))
-    # u beyond the bar: the word's place lies below (DEPTH + 2) / total, which that many words on average do
-    bar = (np.exp(-wt * (DEPTH + 2.0) / total[row]) * (2.0**64 - 2048)).astype(np.uint64)
-    hashed = _mix(word, np.uint64(7))
-    found = []
-    step = 1 << 16  # stretches that stay in the processor's cache
-    for at in range(0, len(word), step):
-        h, low = hashed[at : at + step], bar[at : at + step]
-        for tree in range(TREES):
-            with np.errstate(over="ignore"):
-                u = h * _TREE[tree]
-            near = np.flatnonzero(u > low)
-            place = np.log2(-np.log(u[near] / 2.0**64 + 1e-18) / wt[at + near] + 1e-30)
-            q = np.clip((place + 24) * 512, 0, 2**14 - 1).astype(np.uint64)
-            group = (np.uint64(tree * len(ws)) + row[at + near].astype(np.uint64)) << np.uint64(46)
-            found.append((group | q << np.uint64(32)) | word[at + near])
-    x = np.sort(np.concatenate(found)) if found else np.zeros(0, np.uint64)
-    group = x >> np.uint64(46)
-    start = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(x) else np.zeros(0, np.int64)
-    size = np.diff(np.append(start, len(x)))
-    start, size = start[size >= LEAST], size[size >= LEAST]
-    group = group[start].astype(np.int64)
-    h, keys = (group // max(1, len(ws)) + 1).astype(np.uint64), []
-    for k in range(DEPTH):
-        ok = size > k
-        h = _mix(h, np.where(ok, x[np.where(ok, start + k, 0)] & np.uint64(0xFFFFFFFF), np.uint64(2**40)))
-        keys.append(h)
-    return group % max(1, len(ws)), [keys[LEAST - 1], keys[LEAST], keys[DEPTH - 1]]
-
-
-def _suffixes(weights: np.ndarray):
-    """(key, side, n, w) to one row per suffix: k8, k16, k32, key, side, n, pos."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                b = whole.slice(at, 2000)
-                ws = b.column(3).to_pylist()
-                lens = np.array([len(w) // 4 for w in ws], np.int64)
-                ids, pad = [], np.zeros(_END, np.uint32)
-                for w in ws:
-                    ids += [np.frombuffer(w, np.uint32), pad]
-                x = np.concatenate(ids).astype(np.uint64) + np.uint64(1)
-                h4, h8 = window_hashes(x, 4), window_hashes(x, 8)
-                start = np.cumsum(lens + _END) - lens - _END
-                row = np.repeat(np.arange(len(lens)), lens)
-                pos = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
-                chosen = h4[start[row] + pos] / 2.0**64 < PER_RECORD / lens[row]
-                row, pos = row[chosen], pos[chosen]
-                q = start[row] + pos
-                h16 = _mix(h8[q], h8[q + 8])
-                h32 = _mix(h16, _mix(h8[np.minimum(q + 16, len(h8) - 1)], h8[np.minimum(q + 24, len(h8) - 1)]))
-                rows, orders = _orders(ws, weights)
-                k8, k16, k32 = (np.concatenate(k) for k in zip([h8[q], h16, h32], orders, strict=True))
-                take = pa.array(np.concatenate([row, rows]))
-                where = np.concatenate([pos, np.zeros(len(rows), np.int64)]).astype(np.int32)
-                short = lambda k: pa.array((k >> np.uint64(32)).astype(np.uint32).view(np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array(k8.view(np.int64)), short(k16), short(k32), *(b.column(k).take(take) for k in range(3)), pa.array(where)], ["k8", "k16", "k32", "key", "side", "n", "pos"])
-
-    return run
-
-
-_ROW = "k8 long, k16 int, k32 int, key long, side int, n int, pos int"
-_PAIR = pa.schema([("kind", pa.int32()), ("k8", pa.int64()), ("k16", pa.int32()), ("k32", pa.int32()), ("key", pa.int64()), ("side", pa.int32()), ("n", pa.int32()), ("pos", pa.int32()), ("key2", pa.int64())])
-_PAIR_SQL = f"kind int, {_ROW}, key2 long"
-
-
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted suffixes to pairs (kind 0: train key, held-out key2) and, for the seams, the outermost suffixes of either side (kind 1).
-
-    Works through the partition batch by batch; from one to the next it carries the last suffix of either side.
-    """
-    carry: pa.Table | None = None
-    first = True
-    cols = ["k8", "k16", "k32", "key", "side", "n", "pos"]
-
-    def ends(t: pa.Table, last: bool) -> list[int]:
-        side = t.column("side").to_numpy()
-        out = set()
-        for bit in (1, 2):
-            at = np.flatnonzero(side & bit)
-            if len(at):
-                out.add(int(at[-1 if last else 0]))
-        return sorted(out)
-
-    def seam(t: pa.Table, rows: list[int]) -> pa.RecordBatch:
-        t = t.take(pa.array(rows, pa.int64())).combine_chunks()
-        return pa.RecordBatch.from_arrays([pa.array([1] * len(rows), pa.int32()), *(pa.array(t.column(c).to_numpy(), _PAIR.field(c).type) for c in cols), pa.nulls(len(rows), pa.int64())], schema=_PAIR)
+def _candidates(texts: DataFrame) -> DataFrame:
+    """(key, key2): the training and held-out texts that may share SHARE of the words of both, every such pair once.
 
-    for b in batches:
-        t = pa.Table.from_batches([b]).select(cols)
-        if not t.num_rows:
-            continue
-        if first:
-            yield seam(t, ends(t, False))
-            first = False
-        if carry is not None:
-            t = pa.concat_tables([carry, t.cast(carry.schema)]).combine_chunks()
-        k8, key, side, n, pos = (t.column(c).to_numpy() for c in ("k8", "key", "side", "n", "pos"))
-        i = np.arange(len(side))
-        got = []
-        for mine, other in ((1, 2), (2, 1)):
-            before = np.maximum.accumulate(np.where(side & other > 0, i, -1))
-            before = np.concatenate([[-1], before[:-1]])
-            after = np.minimum.accumulate(np.where(side & other > 0, i, len(i))[::-1])[::-1]
-            after = np.concatenate([after[1:], [len(i)]])
-            for near in (before, after):
-                a = np.flatnonzero((side & mine > 0) & (near >= 0) & (near < len(i)))
-                c = near[a]
-                longer = np.maximum(n[a], n[c])
-                # words of a common subsequence that long stand no further apart than the words it leaves out
-                ok = (k8[a] == k8[c]) & (key[a] != key[c]) & (np.minimum(n[a], n[c]) >= SHARE * longer) & (np.abs(pos[a] - pos[c]) <= (1 - SHARE) * longer + 1e-9)
-                a, c = key[a[ok]], key[c[ok]]
-                got.append((a, c) if mine == 1 else (c, a))
-        a, c = (np.concatenate(x) for x in zip(*got, strict=True))
-        if len(a):
-            a, c = np.unique(np.stack([a, c]), axis=1)
-            none, small = pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(a), np.int32)), none, small, small, pa.array(a), small, small, small, pa.array(c)], schema=_PAIR)
-        carry = t.take(pa.array(ends(t, True), pa.int64())).combine_chunks()
-    if carry is not None:
-        yield seam(carry, list(range(carry.num_rows)))
-
-
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, key2, sketch, sketch2) to the (key, key2) whose sketches agree often enough; bins that are empty in both count for neither.
-
-    Records that share SHARE of the words of both have two thirds of all their words in common, and 0.69 of their bins
-    agree. The bound lies 4.6 standard deviations below, which one pair in half a million misses.
+    Each cell of a band's training texts meets each cell of the held-out texts of the bands beside it. A band of any size
+    falls into cells by the hash of its members, so no group holds more than two cells.
     """
-    half = BINS // 2
-    for b in batches:
-        if not b.num_rows:
-            continue
-        x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(b.num_rows, -1) for k in (2, 3))
-        d = x[:, :half] ^ y[:, :half]
-        same = np.stack([d >> 4 == 0, d & 15 == 0], axis=2).reshape(b.num_rows, BINS)
-        none_x, none_y = (np.unpackbits(z[:, half:], axis=1).astype(bool) for z in (x, y))
-        agree, filled = (same & ~none_x & ~none_y).sum(axis=1), (~(none_x & none_y)).sum(axis=1)
-        keep = pa.array(np.flatnonzero(agree >= 0.6875 * filled - 4.6 * np.sqrt(0.215 * filled)))
-        yield pa.RecordBatch.from_arrays([b.column(0).take(keep), b.column(1).take(keep)], ["key", "key2"])
+    x = texts.select("key", "side", "n", "bits", F.floor(F.log("n") / F.log(F.lit(BAND))).cast("long").alias("band"))
+    # a band has cells of a side only where it has texts of it; there are some hundred bands whatever the lengths
+    cells = lambda bit, name: F.ceil(F.sum(F.when(F.col("side").bitwiseAND(bit) > 0, F.length("bits"))) / (CELL * 64)).alias(name)
+    size = materialize(x.groupBy("band").agg(cells(1, "rows"), cells(2, "cols")), "bands")
+    hashed, spread = (lambda c: F.pmod(F.xxhash64("key"), F.col(c))), (lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1)))
+    beside = F.explode(F.array(*(F.col("band") + k for k in (-1, 0, 1))))
+    number = lambda t, h, i, j: F.shiftleft(t * 128 + h, 48) + F.shiftleft(i, 24) + j
+    sides = []
+    for bit, own, far in ((1, "rows", "cols"), (2, "cols", "rows")):
+        mine = F.broadcast(size.filter(f"{own} > 0").select("band", own))
+        others = F.broadcast(size.filter(f"{far} > 0").select(F.col("band").alias("beside"), far))
+        y = x.filter(F.col("side").bitwiseAND(bit) > 0).join(mine, "band").withColumn("at", hashed(own)).withColumn("beside", beside).join(others, "beside").withColumn("to", spread(far))
+        place = [F.col(c) for c in (("band", "beside", "at", "to") if bit == 1 else ("beside", "band", "to", "at"))]
+        sides.append(y.select(number(*place).alias("cell"), F.lit(bit).alias("side"), "key", "n", "bits"))
+    return sides[0].unionByName(sides[1]).repartition("cell").sortWithinPartitions("cell", "side", "n").mapInArrow(_close, "key long, key2 long")
 
 
 def shared_spans(x: list[int], y: list[int], least: int = SPAN) -> list[tuple[int, int]]:
@@ -318,23 +221,6 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], _SPANS)], ["key", "key2", "shared", "spans"])
 
 
-def _within_classes(links: DataFrame, texts: DataFrame) -> DataFrame:
-    """(key, key2): of every class of linked texts the cross-split pairs that are no link yet, in cells of CELL x CELL members.
-
-    A class of any size falls into cells by the hash of its members, so no group holds more than a cell's.
-    """
-    members, _ = spanning_forest(links.select(F.col("key").cast("string").alias("u"), F.col("key2").cast("string").alias("v")))
-    sides = materialize(members.select(F.col("node").cast("bigint").alias("key"), "root").join(texts.select("key", "side"), "key"), "sides")
-    held, train = F.count_if(F.col("side").bitwiseAND(2) > 0), F.count_if(F.col("side").bitwiseAND(1) > 0)
-    # two texts are linked already
-    size = sides.groupBy("root").agg(F.ceil(train / CELL).alias("rows"), F.ceil(held / CELL).alias("cols"), F.count("*").alias("n")).filter("n > 2").drop("n")
-    x = sides.join(size, "root")
-    spread = lambda c: F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col(c) - 1, F.lit(0))))
-    a = x.filter(F.col("side").bitwiseAND(1) > 0).select("root", "key", F.pmod(F.xxhash64("key"), F.greatest("rows", F.lit(1))).alias("i"), spread("cols").alias("j"))
-    b = x.filter(F.col("side").bitwiseAND(2) > 0).select("root", F.col("key").alias("key2"), spread("rows").alias("i"), F.pmod(F.xxhash64("key"), F.greatest("cols", F.lit(1))).alias("j"))
-    return a.join(b, ["root", "i", "j"]).filter("key <> key2").select("key", "key2").join(links.select("key", "key2"), ["key", "key2"], "left_anti")
-
-
 def links(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(key, key2, shared, spans): training and held-out texts that share SHARE of the words of both, and (id, side, key, n): the records' texts.
 
@@ -342,30 +228,18 @@ def links(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     sides stands on both. Copies are one text, which is linked to itself where it stands on both sides.
     """
     ship(records.sparkSession)
-    read = materialize(records.select("id", "side", "text").mapInArrow(_fingerprint, "id string, side int, fp binary, n int, w binary, sketch binary"), "records")
+    read = materialize(records.select("id", "side", "text").mapInArrow(_fingerprint, "id string, side int, fp binary, n int, w binary, bits binary"), "records")
     # a text goes by 64 bits of its fingerprint; that two of a table meet in them is as good as excluded
     key = F.xxhash64("fp")
-    texts = materialize(read.groupBy("fp").agg(F.bit_or("side").alias("side"), F.first("n").alias("n"), F.first("w").alias("w"), F.first("sketch").alias("sketch")).select(key.alias("key"), "side", "n", "w", "sketch"), "texts")
+    texts = materialize(read.groupBy("fp").agg(F.bit_or("side").alias("side"), F.first("n").alias("n"), F.first("w").alias("w"), F.first("bits").alias("bits")).select(key.alias("key"), "side", "n", "w", "bits"), "texts")
     rec = materialize(read.select("id", "side", key.alias("key"), "n"), "ids")
     release(read)
-    rows = materialize(texts.select("key", "side", "n", "w").mapInArrow(_suffixes(word_weights(texts)), _ROW), "suffixes")
-    order = ["k8", "k16", "k32", "key", "pos"]
-    found = materialize(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours, _PAIR_SQL), "neighbours")
-    # the seams between partitions: four suffixes a partition at most
-    seams = found.filter("kind = 1").select(*order[:4], "side", "n", "pos").repartition(1).sortWithinPartitions(*order).mapInArrow(_neighbours, _PAIR_SQL)
-    pairs = found.unionByName(seams).filter("kind = 0").select("key", "key2").distinct()
-    release(rows)
-    sketches = texts.select("key", "sketch")
-
-    def decide(candidates: DataFrame) -> DataFrame:
-        likely = candidates.join(sketches, "key").join(sketches.toDF("key2", "sketch2"), "key2").select("key", "key2", "sketch", "sketch2").mapInArrow(_alike, "key long, key2 long")
-        w1, w2 = texts.select("key", "w"), texts.select(F.col("key").alias("key2"), F.col("w").alias("w2"))
-        return likely.join(w1, "key").join(w2, "key2").select("key", "key2", "w", "w2").mapInArrow(_verify, _LINK)
-
-    near = materialize(decide(pairs), "near")
+    found = materialize(_candidates(texts), "candidates")
+    w1, w2 = texts.select("key", "w"), texts.select(F.col("key").alias("key2"), F.col("w").alias("w2"))
+    near = found.join(w1, "key").join(w2, "key2").select("key", "key2", "w", "w2").mapInArrow(_verify, _LINK)
     whole = F.array(F.struct(F.lit(0).alias("pos"), F.col("n").alias("upto")))
     same = texts.filter("side = 3").select("key", F.col("key").alias("key2"), F.col("n").alias("shared"), whole.alias("spans"))
-    out = materialize(near.unionByName(decide(_within_classes(near, texts))).unionByName(same), "links")
+    out = materialize(near.unionByName(same), "links")
     release(found)
     return out, rec
 
